@@ -34,6 +34,8 @@ class StreamSettings:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     training_every: int = 5
+    # Tables of a micro-batch that are written at the same time.
+    writers: int = 4
 
 
 @dataclass(frozen=True)

@@ -85,7 +85,8 @@ def _lookup(addresses: DataFrame, ranges: DataFrame, small: bool) -> DataFrame:
     return joined.drop("_prefix", "ip_from", "ip_to")
 
 
-def _is_small(ranges: DataFrame, limit: int) -> bool:
+def fit_for_broadcast(ranges: DataFrame, limit: int) -> bool:
+    """Whether the ranges, repeated per prefix, are at most ``limit`` rows."""
     pieces = F.sum(_prefix(F.col("ip_to")) - _prefix(F.col("ip_from")) + 1)
     return (ranges.agg(pieces.alias("n")).first()["n"] or 0) <= limit
 
@@ -140,7 +141,7 @@ def geo_range_join(
     enough to broadcast, which is measured unless ``small`` states it.
     """
     if small is None:
-        small = _is_small(ranges, geo.broadcast_rows)
+        small = fit_for_broadcast(ranges, geo.broadcast_rows)
     if small:
         found = _lookup(with_ipv4_number(df, column, "_number"), ranges, small=True).drop("_number")
     else:

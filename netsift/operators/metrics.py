@@ -85,12 +85,14 @@ def traffic_stats(scored: DataFrame) -> DataFrame:
     return with_shares(batch_counts(scored, "batch_id")).select(*STATS)
 
 
-def attack_summary(scored: DataFrame, *keys: str) -> DataFrame:
-    """Per attack type: rows, last sighting and mean prediction."""
+def attack_summary(scored: DataFrame, *keys: str, probability: bool = False) -> DataFrame:
+    """Per attack type: rows, last sighting and mean prediction, and on request the mean forest probability."""
+    extra = [F.avg("attack_probability").alias("avg_probability")] if probability else []
     return scored.groupBy(*keys, "attack_type").agg(
         F.count("*").alias("count"),
         F.max("timestamp").alias("last_seen"),
         F.avg("prediction").alias("avg_confidence"),
+        *extra,
     )
 
 

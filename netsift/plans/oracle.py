@@ -272,6 +272,18 @@ def _decimal_percent(c: str) -> str:
     return f'CAST(round(CAST("{c}" AS DECIMAL(18,15)) * 100, 1) AS DOUBLE) AS "{c}"'
 
 
+_HOUR_TEXT = "strftime(date_trunc('hour', \"timestamp\")::TIMESTAMP, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_ROLLUPS = f"""SELECT 'attack_distribution' AS rollup, attack_type AS name, count(*) AS cnt FROM attacks GROUP BY attack_type
+UNION ALL SELECT 'top_ips', coalesce(src_ip, ''), cnt FROM ({_top("attacks", "src_ip", 50)})
+UNION ALL SELECT 'attack_hourly', {_HOUR_TEXT} || '|' || attack_type AS name, count(*) FROM attacks GROUP BY name
+UNION ALL SELECT 'protocol_stats', protocol, count(*) FROM attacks WHERE protocol IS NOT NULL GROUP BY protocol
+UNION ALL SELECT 'severity_timeline', {_HOUR_TEXT} || '|' || severity AS name, count(*) FROM attacks GROUP BY name"""
+_TABLE_COUNTS = (
+    "SELECT (SELECT count(*) FROM alerts) AS alerts, (SELECT count(*) FROM geo) AS attacks_geo, "
+    "(SELECT count(*) FROM alerts) AS total_packets"
+)
+
+
 ORACLE: dict[str, str] = {
     "raw_value_cast": "SELECT props AS raw_value FROM events",
     "parquet_audit": " UNION ALL ".join(
@@ -495,4 +507,26 @@ ORACLE: dict[str, str] = {
         + " FROM scored WHERE true_label IS NOT NULL GROUP BY true_label"
     ),
     "dashboard": f"WITH {_DASHBOARD}",
+    # Queries that write or stream first; their results equal those of plain queries.
+    "csv_scan": _flows(f"SELECT flow_id, {F}, true_label FROM flows"),
+    "csv_scan_inferred": _flows(f"SELECT flow_id, {F}, true_label FROM flows"),
+    "training_scan": _alerts(f"SELECT {F}, true_label FROM scored WHERE true_label IS NOT NULL"),
+    "table_read": "SELECT event_id, ts, user_id, event_type FROM events",
+    "stream_source": _flows("SELECT count(*) AS cnt FROM flows"),
+    "raw_bridge": _flows("SELECT count(*) AS cnt, 0::BIGINT AS unstamped FROM flows"),
+    "fanout": _alerts(
+        'SELECT "timestamp", attack_type, src_ip, dst_ip, src_port, dst_port, protocol, severity, prediction, true_label FROM alerts'
+    ),
+    "fanout_totals": _alerts(
+        "SELECT count(*) AS total_packets, count(*) FILTER (WHERE prediction = 0) AS normal_count, "
+        "count(*) FILTER (WHERE prediction = 1) AS attack_count FROM alerts"
+    ),
+    "geo_feed": _geo('SELECT src_ip, attack_type, severity, "timestamp", latitude, longitude, geo_source FROM geo'),
+    "refresh_rollups": _alerts(_ROLLUPS),
+    "idempotent_replay": _geo(_TABLE_COUNTS),
+    "recovery": _geo(_TABLE_COUNTS),
+    "stream_timeline": _alerts(
+        f"SELECT {_MINUTE} AS minute, attack_type, count(*) AS cnt FROM attacks GROUP BY 1, 2"
+    ),
+    "train_gate": "SELECT * FROM (VALUES ('met', NULL), ('missed', 'not enough rows'), ('unlabelled', 'no label column')) AS t(gate, skipped)",
 }

@@ -8,24 +8,64 @@ folder of the session.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from netsift.operators import metrics
+from netsift.operators.clean import clean_all, training_rows
+from netsift.operators.forest import from_lake, publish, train
+from netsift.operators.parse import encode_flows
 from netsift.plans import flows
 from netsift.session import scratch_dir
-from netsift.sinks.tables import DATE, read_table, write_table
+from netsift.sinks.tables import read_table, write_table
+from netsift.sinks.versions import Versions
+from netsift.sources.tables import read_lake
 
-_PATHS: dict[tuple[str, str], str] = {}
+_PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored alerts of all flows, partitioned by date."""
-    key = (spark.sparkContext.applicationId, folder)
+def _stored(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a derived table, written on first use in this application."""
+    key = (spark.sparkContext.applicationId, folder, name)
     if key not in _PATHS:
-        path = scratch_dir(spark, "alerts")
-        write_table(flows.alerts(spark, folder), path)
+        path = scratch_dir(spark, name)
+        write(path)
         _PATHS[key] = path
-    return read_table(spark, _PATHS[key])
+    return _PATHS[key]
+
+
+def alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored alerts of all flows, partitioned by date."""
+    return read_table(spark, _stored(spark, folder, "alerts", lambda path: write_table(flows.alerts(spark, folder), path)))
+
+
+def wire(spark: SparkSession, folder: str) -> str:
+    """Folder of JSON-lines files with all flows in wire format, in several files."""
+
+    def write(path: str) -> None:
+        records = flows.flows(spark, folder)
+        rows = spark.read.parquet(f"{folder}/events.parquet").count()
+        messages = encode_flows(records).select("value")
+        messages.write.option("maxRecordsPerFile", max(rows // 8, 100)).text(path)
+
+    return _stored(spark, folder, "wire", write)
+
+
+def lake(spark: SparkSession, folder: str) -> str:
+    """Folder of the training lake with all labelled flows."""
+    return _stored(
+        spark, folder, "lake", lambda path: training_rows(clean_all(flows.flows(spark, folder))).write.parquet(path)
+    )
+
+
+def models(spark: SparkSession, folder: str) -> Versions:
+    """Published models; the first one is trained on the lake."""
+
+    def write(path: str) -> None:
+        publish(train(from_lake(read_lake(spark, lake(spark, folder)))), Versions(spark, path))
+
+    return Versions(spark, _stored(spark, folder, "models", write))
 
 
 def stats(spark: SparkSession, folder: str) -> DataFrame:

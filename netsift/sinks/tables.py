@@ -28,15 +28,18 @@ def write_table(df: DataFrame, path: str) -> None:
     with_date(df).hint("rebalance", DATE).write.mode("overwrite").partitionBy(DATE).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, dated: bool = True) -> None:
-    """Write the rows of one batch, replacing what an earlier attempt at it wrote."""
+def write_batch(df: DataFrame, path: str, batch_id: int, dated: bool = True, small: bool = False) -> None:
+    """Write the rows of one batch, replacing what an earlier attempt at it wrote.
+
+    ``small`` is for tables of a few rows per batch, which go into one file.
+    """
     rows = df.drop("batch_id").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     keys = ["batch_id"]
     if dated:
         rows, keys = with_date(rows), [DATE, "batch_id"]
+    rows = rows.coalesce(1) if small else rows.hint("rebalance", *keys)
     (
-        rows.hint("rebalance", *keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
