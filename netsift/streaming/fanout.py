@@ -77,7 +77,7 @@ class FanOut:
         """Write all tables of a batch side by side, as most of them are tiny; fails if one fails."""
         with ThreadPoolExecutor(self.settings.stream.writers) as pool:
             tasks = [
-                pool.submit(inheritable_thread_target(self._write), table, df, batch_id)
+                pool.submit(inheritable_thread_target(self.spark)(self._write), table, df, batch_id)
                 for table, df in tables.items()
             ]
             return [task.result() for task in tasks]
