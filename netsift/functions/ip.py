@@ -7,6 +7,7 @@ Only literals are read; names are never resolved.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,8 +110,14 @@ def ipv6_hash(ip: Column) -> Column:
     return _let(ipv6_groups(ip), _hash_groups)
 
 
+@lru_cache
+def _ipv6_hash_of(application: str, ip: str) -> Column:
+    """The expression is long to build and does not depend on the data, so a stream builds it once."""
+    return F.when(F.contains(F.col(ip), F.lit(":")), ipv6_hash(F.col(ip)))
+
+
 def with_ip_hash(df: DataFrame, ip: str, into: str) -> DataFrame:
     """Add the signed 32-bit rolling hash (factor 31) over the address bytes; NULL for anything but a literal."""
     numbered = with_ipv4_number(df, ip, "_v4")
-    v6 = F.when(F.contains(ip, F.lit(":")), ipv6_hash(F.col(ip)))
+    v6 = _ipv6_hash_of(df.sparkSession.sparkContext.applicationId, ip)
     return numbered.withColumn(into, F.coalesce(_hash_v4(F.col("_v4")), v6)).drop("_v4")

@@ -17,7 +17,9 @@ def _apply(df: DataFrame, columns, rule: Callable[[Column], Column]) -> DataFram
 
 def add_missing_features(df: DataFrame) -> DataFrame:
     """Add every absent feature column as 0.0."""
-    return df.withColumns({c: F.lit(0.0) for c in FEATURES if c not in df.columns})
+    present = set(df.columns)
+    missing = {c: F.lit(0.0) for c in FEATURES if c not in present}
+    return df.withColumns(missing) if missing else df
 
 
 def fill_nulls(df: DataFrame) -> DataFrame:

@@ -23,11 +23,12 @@ def sections(
 ) -> dict[str, DataFrame]:
     """One DataFrame per section.
 
-    ``distribution`` and ``ips`` take refreshed rollup tables; without them both
-    are counted from the alerts.
+    ``distribution`` and ``ips`` take refreshed rollup tables; without them the
+    first follows from the summary and the second is counted from the alerts.
     """
     since = minutes_before(as_of, DAY)
-    distribution = rollups.attack_distribution(alerts) if distribution is None else distribution
+    if distribution is None:
+        distribution = rollups.attacks(summary).select("attack_type", F.col("count").alias("cnt"))
     ips = rollups.top_attack_ips(alerts) if ips is None else ips
     return {
         "counts": serve.recent_counts(alerts, as_of),

@@ -128,17 +128,25 @@ def _project(keyed: DataFrame) -> DataFrame:
     return labelled.select(*[e.alias(c) for c, e in _identity().items()], *features)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a table of few, unsplittable files over all cores; larger tables are read as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def flows(spark: SparkSession, folder: str) -> DataFrame:
     """Flow records, one per event."""
     events = spark.read.parquet(f"{folder}/events.parquet")
-    return _project(events.select(F.col("event_id").alias("k"), F.col("ts").alias("t"), F.col("user_id").alias("u")))
+    keyed = events.select(F.col("event_id").alias("k"), F.col("ts").alias("t"), F.col("user_id").alias("u"))
+    return _project(_spread(keyed))
 
 
 def flows_big(spark: SparkSession, folder: str) -> DataFrame:
     """Flow records, one per order line. Keys are almost but not fully unique."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100003 + F.col("l_partkey")
-    return _project(lines.select(key.alias("k"), F.col("l_shipdate").alias("t"), F.col("l_suppkey").alias("u")))
+    keyed = lines.select(key.alias("k"), F.col("l_shipdate").alias("t"), F.col("l_suppkey").alias("u"))
+    return _project(_spread(keyed))
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:

@@ -141,8 +141,12 @@ def refresh_rollups(spark: SparkSession, root: str) -> str:
     versions = Versions(spark, f"{root}/rollups")
     version, location = versions.new_location()
     parts = rollups_from(read_table(spark, f"{root}/attack_cube"), read_table(spark, f"{root}/attack_ips"))
-    for name, rollup in parts.items():
-        rollup.coalesce(1).write.mode("overwrite").parquet(f"{location}/{name}")
+
+    def write(name: str) -> None:
+        parts[name].coalesce(1).write.mode("overwrite").parquet(f"{location}/{name}")
+
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), parts))
     versions.publish(version, location)
     return location
 
