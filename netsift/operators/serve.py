@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from netsift.functions.times import minutes_before, moment
 from netsift.operators.rollups import attacks
 from netsift.schema import LISTING
+from netsift.sinks.tables import DATE
 from netsift.sinks.tables import since as since_moment
 
 
@@ -20,7 +21,12 @@ def newest_first(df: DataFrame) -> DataFrame:
 
 
 def latest_moment(df: DataFrame, column: str = "timestamp") -> Column:
-    """The newest timestamp of a table, as a scalar subquery."""
+    """The newest timestamp of a table, as a scalar subquery.
+
+    In a table partitioned by date, only the newest date is read for it.
+    """
+    if DATE in df.columns:
+        df = df.filter(F.col(DATE) == df.agg(F.max(DATE)).scalar())
     return df.agg(F.max(column)).scalar()
 
 

@@ -525,6 +525,10 @@ ORACLE: dict[str, str] = {
     "refresh_rollups": _alerts(_ROLLUPS),
     "idempotent_replay": _geo(_TABLE_COUNTS),
     "recovery": _geo(_TABLE_COUNTS),
+    "hot_reload": _flows(
+        "SELECT 0::BIGINT AS batch_id, count(*) AS cnt, 0::BIGINT AS scored_by_forest FROM flows "
+        "UNION ALL SELECT 1, count(*), count(*) FROM flows"
+    ),
     "stream_timeline": _alerts(
         f"SELECT {_MINUTE} AS minute, attack_type, count(*) AS cnt FROM attacks GROUP BY 1, 2"
     ),

@@ -34,14 +34,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int, dated: bool = True, sma
     ``small`` is for tables of a few rows per batch, which go into one file.
     """
     rows = df.drop("batch_id").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    keys = ["batch_id"]
     if dated:
-        rows, keys = with_date(rows), [DATE, "batch_id"]
+        rows = with_date(rows)
+    keys = [DATE] if dated else []
     rows = rows.coalesce(1) if small else rows.hint("rebalance", *keys)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
+        .partitionBy(*keys, "batch_id")
         .parquet(path)
     )
 
