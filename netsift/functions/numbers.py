@@ -18,11 +18,6 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) >= INFINITY, F.lit(0.0)).otherwise(value)
 
 
-def finite_or_zero(value: Column) -> Column:
-    """NULL, NaN and the infinities become 0.0."""
-    return F.when(F.abs(value) < INFINITY, value).otherwise(F.lit(0.0))
-
-
 def as_double(text: Column) -> Column:
     return text.try_cast("double")
 

@@ -11,7 +11,7 @@ from netsift.config import ForestSettings
 from netsift.functions.times import wire_time
 from netsift.operators import clean, forest, rollups
 from netsift.operators.detect import detect
-from netsift.plans import flows as base, tables
+from netsift.plans import tables
 from netsift.plans.catalog import query
 from netsift.schema import FEATURES, LABEL
 from netsift.session import scratch_dir
@@ -59,7 +59,7 @@ def stream_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 @query
 def csv_scan(spark, folder):
     path = scratch_dir(spark, "csv")
-    base.flows(spark, folder).select("flow_id", *FEATURES, LABEL).write.option("header", True).csv(path)
+    tables.stored_flows(spark, folder).select("flow_id", *FEATURES, LABEL).write.option("header", True).csv(path)
     typed = read_training_csv(spark, path)
     return typed.withColumns({"flow_id": F.col("flow_id").cast("bigint"), LABEL: F.col(LABEL).cast("double")})
 
@@ -67,7 +67,7 @@ def csv_scan(spark, folder):
 @query
 def csv_scan_inferred(spark, folder):
     path = scratch_dir(spark, "csv")
-    base.flows(spark, folder).select("flow_id", *FEATURES, LABEL).write.option("header", True).csv(path)
+    tables.stored_flows(spark, folder).select("flow_id", *FEATURES, LABEL).write.option("header", True).csv(path)
     return read_training_csv(spark, path, infer=True).withColumn("flow_id", F.col("flow_id").cast("bigint"))
 
 
@@ -157,7 +157,7 @@ def idempotent_replay(spark, folder):
     """Row counts after the batch of all flows was written twice."""
     root = scratch_dir(spark, "replay")
     fan = stream.FanOut(spark, root)
-    batch = base.flows(spark, folder).withColumn("ingest_time", F.col("timestamp"))
+    batch = tables.stored_flows(spark, folder)
     for _ in range(2):
         fan(batch, 0)
     return counts_of(spark, root)
@@ -225,7 +225,7 @@ def retrain(spark, folder):
 def train_csv(spark, folder):
     path = scratch_dir(spark, "csv")
     label = F.when(F.col(LABEL) == 1.0, F.col("attack_type")).otherwise("BENIGN")
-    labelled = base.scored(spark, folder).select(*FEATURES, label.alias(" Label"))
+    labelled = detect(clean.clean_all(tables.stored_flows(spark, folder))).select(*FEATURES, label.alias(" Label"))
     labelled.write.option("header", True).csv(path)
     return as_row(spark, forest.train_csv(spark, path, Versions(spark, scratch_dir(spark, "models"))))
 
@@ -247,7 +247,7 @@ def train_gate(spark, folder):
 def score(spark, folder):
     """All flows scored by the forest, counted by class."""
     model = forest.ModelCache(tables.models(spark, folder)).current()
-    scored = forest.score(clean.clean_all(base.flows(spark, folder)), model)
+    scored = forest.score(clean.clean_all(tables.stored_flows(spark, folder)), model)
     return scored.groupBy("attack_type", "prediction").agg(
         F.count("*").alias("cnt"), F.round(F.avg("attack_probability"), 4).alias("avg_probability")
     )
@@ -260,7 +260,7 @@ def hot_reload(spark, folder):
     published = tables.models(spark, folder).latest()
     versions = Versions(spark, f"{root}/models")
     fan = stream.FanOut(spark, root, models=versions)
-    batch = base.flows(spark, folder).withColumn("ingest_time", F.col("timestamp"))
+    batch = tables.stored_flows(spark, folder)
     fan(batch, 0)
     versions.publish(published["version"], published["location"])
     fan(batch, 1)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netsift.operators import metrics
 from netsift.operators.clean import clean_all, training_rows
@@ -40,12 +41,21 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, _stored(spark, folder, "alerts", lambda path: write_table(flows.alerts(spark, folder), path)))
 
 
+def stored_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored flow records, with the ingest time that a stream would add."""
+
+    def write(path: str) -> None:
+        flows.flows(spark, folder).withColumn("ingest_time", F.col("timestamp")).write.parquet(path)
+
+    return spark.read.parquet(_stored(spark, folder, "flows", write))
+
+
 def wire(spark: SparkSession, folder: str) -> str:
     """Folder of JSON-lines files with all flows in wire format, in several files."""
 
     def write(path: str) -> None:
-        records = flows.flows(spark, folder)
-        rows = spark.read.parquet(f"{folder}/events.parquet").count()
+        records = stored_flows(spark, folder)
+        rows = records.count()
         messages = encode_flows(records).select("value")
         messages.write.option("maxRecordsPerFile", max(rows // 8, 100)).text(path)
 
@@ -55,7 +65,7 @@ def wire(spark: SparkSession, folder: str) -> str:
 def lake(spark: SparkSession, folder: str) -> str:
     """Folder of the training lake with all labelled flows."""
     return _stored(
-        spark, folder, "lake", lambda path: training_rows(clean_all(flows.flows(spark, folder))).write.parquet(path)
+        spark, folder, "lake", lambda path: training_rows(clean_all(stored_flows(spark, folder))).write.parquet(path)
     )
 
 

@@ -35,6 +35,6 @@ def folder() -> str:
 
 @pytest.fixture(scope="session")
 def flows(spark, folder):
-    from netsift.plans.flows import flows as derive
+    from netsift.plans.tables import stored_flows
 
-    return derive(spark, folder)
+    return stored_flows(spark, folder).drop("ingest_time")
