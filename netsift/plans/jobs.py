@@ -11,7 +11,7 @@ from netsift.config import ForestSettings
 from netsift.functions.times import wire_time
 from netsift.operators import clean, forest, rollups
 from netsift.operators.detect import detect
-from netsift.plans import tables
+from netsift.plans import dashboard, tables
 from netsift.plans.catalog import query
 from netsift.schema import FEATURES, LABEL
 from netsift.session import scratch_dir
@@ -152,6 +152,14 @@ def refresh_rollups(spark, folder):
     return result
 
 
+@query
+def dashboard_stored(spark, folder):
+    """The dashboard as served in a deployment: from rollups and stored statistics."""
+    root = detected(spark, folder)
+    stream.refresh_rollups(spark, root)
+    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(~F.col("section").isin("latest", "traffic_timeline", "mean"))
+
+
 @query
 def idempotent_replay(spark, folder):
     """Row counts after the batch of all flows was written twice."""

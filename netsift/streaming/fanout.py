@@ -5,9 +5,10 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,7 +21,8 @@ from netsift.operators.geo import attacks_geo, fit_for_broadcast
 from netsift.operators.metrics import METRICS, STATS, attack_summary, batch_counts, with_scores, with_shares
 from netsift.operators.parse import parse_flows
 from netsift.operators.rollups import attack_cube, attack_ips, rollups_from
-from netsift.operators.serve import geo_after_batch
+from netsift.operators.serve import geo_after_batch, latest_moment
+from netsift.plans.dashboard import sections
 from netsift.sinks.tables import exists, read_table, write_batch
 from netsift.sinks.versions import Versions
 
@@ -156,6 +158,30 @@ def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{Versions(spark, f'{root}/rollups').latest()['location']}/{name}")
 
 
+def overall_summary(summary: DataFrame) -> DataFrame:
+    """The attack summary over all batches, from the per-batch summaries."""
+    weighted = F.sum(F.col("avg_confidence") * F.col("count")) / F.sum("count")
+    return summary.groupBy("attack_type").agg(
+        F.sum("count").alias("count"), F.max("last_seen").alias("last_seen"), weighted.alias("avg_confidence")
+    )
+
+
+def stored_dashboard(spark: SparkSession, root: str, as_of: Column | datetime | None = None) -> dict[str, DataFrame]:
+    """The dashboard sections out of the stream's tables and the refreshed rollups.
+
+    The alerts are read for the last day only; everything else comes from small tables.
+    """
+    alerts = read_table(spark, f"{root}/alerts")
+    return sections(
+        alerts,
+        read_table(spark, f"{root}/traffic_stats"),
+        overall_summary(read_table(spark, f"{root}/attack_summary")),
+        latest_moment(alerts) if as_of is None else as_of,
+        distribution=read_rollup(spark, root, "attack_distribution"),
+        ips=read_rollup(spark, root, "top_ips"),
+    )
+
+
 def latest_summary(summary: DataFrame) -> DataFrame:
     """The attack summary of the newest batch."""
     return summary.filter(F.col("batch_id") == summary.agg(F.max("batch_id")).scalar())
