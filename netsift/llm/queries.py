@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import packing, toxicity, urls
+from netsift.llm import fingerprints, licenses, neardup, packing, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +65,29 @@ def op4_toxicity(spark, folder):
     model = toxicity.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_fingerprints(spark, folder):
+    """Fingerprints of all documents and of their edited texts."""
+    found = fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.packed(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.packed(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+@query
+def op9_licenses(spark, folder):
+    """Licence notices in all lines of all documents."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+ORACLE["op9_licenses"] = licenses.scan_sql()
+
+
+@query
+def op8_near_duplicates(spark, folder):
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
