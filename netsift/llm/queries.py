@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import fingerprints, licenses, neardup, packing, toxicity, urls
+from netsift.llm import fingerprints, licenses, neardup, packing, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +91,12 @@ ORACLE["op9_licenses"] = licenses.scan_sql()
 def op8_near_duplicates(spark, folder):
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op1_substring_dedup(spark, folder):
+    """Words of all documents that no earlier passage of 20 words repeats."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

@@ -139,23 +139,25 @@ def words(column: pa.Array, gap: np.ndarray = _GAP) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, at))
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, length: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each run of ``length`` words that lies in one text, and the word it starts at."""
-    n = len(hashes)
-    if n < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = np.ones(n, bool)
+def starts_of(first: np.ndarray, length: int) -> np.ndarray:
+    """Words at which a run of ``length`` words begins that lies in one text."""
+    inside = np.ones(int(first[-1]), bool)
     for back in range(1, length):
         stop = first[1:] - back
         inside[stop[stop >= first[:-1]]] = False
-    begin = np.flatnonzero(inside)
-    return span_hash(hashes, begin, begin + length, _WORD_POWERS[which]), begin
+    return np.flatnonzero(inside)
+
+
+def runs(hashes: np.ndarray, begin: np.ndarray, length: int, which: int = 0) -> np.ndarray:
+    """Hash of the run of ``length`` words that begins at each of ``begin``."""
+    return span_hash(hashes, begin, begin + length, _WORD_POWERS[which])
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, length: int = 5, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes and the text of each: runs of ``length`` words, or all words of a shorter text."""
     counts = np.diff(first)
-    full, begin = windows(hashes, first, length, which)
+    begin = starts_of(first, length)
+    full = runs(hashes, begin, length, which)
     short = np.flatnonzero((counts > 0) & (counts < length))
     text = np.repeat(np.arange(len(counts)), counts)
     whole = span_hash(hashes, first[short], first[short + 1], _WORD_POWERS[which]) if len(short) else full[:0]
