@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import fingerprints, licenses, neardup, packing, substrings, toxicity, urls
+from netsift.llm import fingerprints, licenses, neardup, packing, substrings, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,9 @@ def op1_substring_dedup(spark, folder):
     return substrings.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op7_near_vectors(spark, folder):
+    """Links and components of all embeddings."""
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
