@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import fingerprints, licenses, neardup, packing, substrings, toxicity, urls, vectors
+from netsift.llm import fingerprints, licenses, neardup, packing, secrets, substrings, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +106,11 @@ def op1_substring_dedup(spark, folder):
 def op7_near_vectors(spark, folder):
     """Links and components of all embeddings."""
     return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op6_secret_scan(spark, folder):
+    """All candidates for secrets in all documents, and the forest's verdict."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, *secrets.fitted(docs))
+    return found.select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
