@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import fingerprints, licenses, neardup, packing, secrets, substrings, toxicity, urls, vectors
+from netsift.llm import fingerprints, licenses, neardup, packing, secrets, substrings, subwords, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,3 +114,16 @@ def op6_secret_scan(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.scan(docs, *secrets.fitted(docs))
     return found.select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
+
+
+@query
+def op10_sentencepiece(spark, folder):
+    """All documents encoded and decoded again; ids_sha256 is over the ids in decimal, joined by one space."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    done = subwords.decode(subwords.encode(table(spark, folder, "documents"), path), path)
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
