@@ -63,7 +63,7 @@ def op4_toxicity(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
     model = toxicity.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
-    scored = toxicity.score(docs, model)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 

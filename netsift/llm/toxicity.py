@@ -149,14 +149,16 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl()) -> Weights:
     )
 
 
-def score(docs: DataFrame, weights: Weights, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Score of every row: doc_id, score (0 to 1), predicted (score >= 0.5).
+def score(docs: DataFrame, weights: Weights, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) of every row, with score (0 to 1) and predicted (score >= 0.5).
 
     Null and empty texts get the score of the intercept alone. Repeated rows are
-    scored each for itself; other columns are ignored and an empty table gives
-    no rows.
+    scored each for itself; columns named as the results are replaced, and an
+    empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    rest = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
@@ -169,9 +171,9 @@ def score(docs: DataFrame, weights: Weights, id_column: str = "doc_id", text_col
             sums = np.bincount(keys >> 32, dense[keys & 0xFFFFFFFF].astype(np.float64), batch.num_rows) + w.bias
             p = 1.0 / (1.0 + np.exp(-np.clip(sums, -500, 500)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                ["doc_id", "score", "predicted"],
+                [batch.column("rest"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["rest", "score", "predicted"]
             )
 
-    rows = docs.select(docs[id_column].cast("bigint").alias("doc_id"), docs[text_column].cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, score double, predicted int")
+    rows = docs.select(docs[text_column].cast("string").alias("text"), rest.alias("rest"))
+    done = rows.mapInArrow(run, rows.select("rest").schema.add("score", "double").add("predicted", "integer"))
+    return done.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
