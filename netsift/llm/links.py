@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.session import scratch_dir
 
 
+def numbered_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``doc_id`` and ``text`` of every row; a column that has the name and type already is taken as it is.
+
+    An alias would hide from the planner that two uses of these rows are the same.
+    """
+
+    def named(column: str, name: str, kind: str) -> Column:
+        same = column == name and dict(docs.dtypes)[column] == kind
+        return docs[column] if same else docs[column].cast(kind).alias(name)
+
+    return docs.select(named(id_column, "doc_id", "bigint"), named(text_column, "text", "string"))
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read again: cuts the lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, purpose)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.links import components, stored
+from netsift.llm.links import components, numbered_texts, stored
 from netsift.llm.text import mix, pieces, shingles, words
 
 SHINGLE = 5
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     nothing. Rows that repeat an id are one document as to links and keep a row
     each. A null id links with nothing, its component_id is null and it is kept.
     """
-    rows = docs.select(docs[id_column].cast("bigint").alias("doc_id"), docs[text_column].cast("string").alias("text"))
+    rows = numbered_texts(docs, id_column, text_column)
     known = rows.filter("doc_id is not null")
     table = stored(signed(rows), "signed")
     sets = ["n_shingles", "set_a", "set_b"]
@@ -273,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     # Rows that repeat an id may be in several classes; the smallest component is theirs.
     found = table.select("doc_id", *sets).join(rep_of, sets, "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
