@@ -1,4 +1,4 @@
-"""Flow records derived from the ``events`` (or ``lineitem``) table.
+"""Flow records derived from the ``events`` table.
 
 Every value is a fixed integer function of the row's key, so that any engine
 computes the same flows from the same table. The formulas are arithmetic on
@@ -11,63 +11,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.operators.clean import clean_all
-from netsift.operators.detect import detect, to_alerts
+from netsift.operators.detect import ATTACK_LIMITS, detect, to_alerts
 from netsift.schema import FEATURES
 
 PRIME = 10_007
 BATCH_ROWS = 100
 
-# Value ranges per feature: (kind, low, width) for attacks, then for normal flows.
-# c = continuous, i = whole number.
-RANGES = {
-    "flow_duration": (("c", 0, 1000), ("c", 10000, 90000)),
-    "total_fwd_packets": (("c", 1000, 9000), ("c", 0, 100)),
-    "total_backward_packets": (("c", 500, 3000), ("c", 0, 50)),
-    "fwd_packet_length_max": (("c", 1000, 500), ("c", 0, 200)),
-    "fwd_packet_length_min": (("c", 40, 100), ("c", 0, 50)),
-    "fwd_packet_length_mean": (("c", 200, 400), ("c", 0, 100)),
-    "bwd_packet_length_max": (("c", 800, 400), ("c", 0, 200)),
-    "bwd_packet_length_min": (("c", 40, 100), ("c", 0, 50)),
-    "bwd_packet_length_mean": (("c", 150, 300), ("c", 0, 100)),
-    "flow_bytes_per_sec": (("c", 500000, 2000000), ("c", 0, 100000)),
-    "flow_packets_per_sec": (("c", 5000, 15000), ("c", 0, 1000)),
-    "fwd_iat_total": (("c", 1000, 5000), ("c", 5000, 50000)),
-    "fwd_iat_mean": (("c", 100, 500), ("c", 500, 5000)),
-    "bwd_iat_total": (("c", 500, 2000), ("c", 2000, 20000)),
-    "bwd_iat_mean": (("c", 50, 200), ("c", 200, 2000)),
-    "fwd_psh_flags": (("i", 0, 5), ("i", 0, 2)),
-    "bwd_psh_flags": (("i", 0, 3), ("i", 0, 1)),
-    "fwd_urg_flags": (("i", 0, 2), ("i", 0, 0)),
-    "bwd_urg_flags": (("i", 0, 2), ("i", 0, 0)),
-    "fin_flag_count": (("i", 0, 10), ("i", 0, 3)),
-    "syn_flag_count": (("i", 50, 200), ("i", 0, 10)),
-    "rst_flag_count": (("i", 10, 50), ("i", 0, 3)),
-    "psh_flag_count": (("i", 0, 20), ("i", 0, 5)),
-    "ack_flag_count": (("i", 100, 500), ("i", 0, 50)),
-    "urg_flag_count": (("i", 0, 5), ("i", 0, 0)),
-    "packet_length_mean": (("c", 300, 500), ("c", 0, 100)),
-    "packet_length_std": (("c", 100, 200), ("c", 0, 50)),
-    "packet_length_variance": (("c", 10000, 40000), ("c", 0, 2500)),
-    "avg_packet_size": (("c", 400, 400), ("c", 0, 200)),
-    "avg_fwd_segment_size": (("c", 300, 300), ("c", 0, 100)),
-    "avg_bwd_segment_size": (("c", 200, 200), ("c", 0, 100)),
-    "subflow_fwd_packets": (("c", 500, 3000), ("c", 0, 50)),
-    "subflow_fwd_bytes": (("c", 100000, 500000), ("c", 0, 10000)),
-    "subflow_bwd_packets": (("c", 200, 1000), ("c", 0, 30)),
-    "subflow_bwd_bytes": (("c", 50000, 200000), ("c", 0, 5000)),
-    "init_win_bytes_forward": (("c", 10000, 50000), ("c", 0, 5000)),
-    "init_win_bytes_backward": (("c", 5000, 20000), ("c", 0, 3000)),
-    "active_mean": (("c", 100, 500), ("c", 0, 1000)),
-    "idle_mean": (("c", 10, 50), ("c", 0, 500)),
-}
+ATTACK_SHARE = 0.35
 
-# Attack rows with key % 101 = n get these values, to reach the rarer classes.
-FORCED = {
-    1: {"flow_packets_per_sec": 60000},
-    2: {"total_backward_packets": 6000, "total_fwd_packets": 100, "packet_length_mean": 50,
-        "syn_flag_count": 10, "rst_flag_count": 0},
-    3: {"total_fwd_packets": 4000, "fwd_psh_flags": 60, "syn_flag_count": 10, "rst_flag_count": 0},
-    4: {"total_fwd_packets": 100, "fin_flag_count": 150, "syn_flag_count": 10, "rst_flag_count": 0},
+# Scale of a feature: attack flows lie between SPAN times the scale. It sits near the limits of the detector and of
+# the class rules, so that every class occurs; features without a limit take a scale from their place in the order.
+SPAN = (0.6, 2.2)
+SCALES = {c: 40 * (2 + n % 11) for n, c in enumerate(FEATURES)} | {
+    "flow_bytes_per_sec": 400_000, "flow_packets_per_sec": 40_000, "total_fwd_packets": 4_000,
+    "total_backward_packets": 2_500, "syn_flag_count": 150, "fin_flag_count": 50, "rst_flag_count": 25,
+    "packet_length_mean": 90, "fwd_psh_flags": 25,
+}
+# Attacks are short, normal flows long: (lowest, width).
+DURATION = {1: (0, 1_500), 0: (2_000, 40_000)}
+
+# Rows on both sides of the limits: {key % EDGE: values}. Normal flows exactly at one limit are none, flows just above
+# it are false alarms, and attack flows far below all limits are missed.
+EDGE = 89
+NORMAL_EDGES = {n: {c: limit} for n, (c, limit) in enumerate(ATTACK_LIMITS.items())}
+NORMAL_EDGES |= {n + 10: {c: limit + 1} for n, (c, limit) in enumerate(ATTACK_LIMITS.items())}
+_AT_LIMITS = {
+    "flow_packets_per_sec": 50_000, "total_fwd_packets": 5_000, "total_backward_packets": 5_000,
+    "syn_flag_count": 200, "fin_flag_count": 100, "rst_flag_count": 50, "fwd_psh_flags": 50,
+}
+ATTACK_EDGES = {
+    1: _AT_LIMITS | {"total_backward_packets": 5_001, "packet_length_mean": 99},
+    2: _AT_LIMITS | {"total_fwd_packets": 3_001, "fwd_psh_flags": 51},
+    3: _AT_LIMITS | {"flow_bytes_per_sec": 500_001, "flow_packets_per_sec": 50_001},
+    4: _AT_LIMITS,
+    5: {c: limit // 2 for c, limit in ATTACK_LIMITS.items()},
 }
 
 
@@ -76,47 +53,70 @@ def _unit(key: str, k: int) -> str:
     return f"cast(({product} + {101 * k + 17} * ({key} % {PRIME})) % {PRIME} as double) / {PRIME}"
 
 
-def _draw(kind: str, low: int, width: int, unit: str) -> str:
-    if width == 0:
-        return f"cast({low} as double)"
+def _range(name: str, attack: int) -> tuple[int, int]:
+    """Lowest value and width of a feature's range."""
+    if name == "flow_duration":
+        return DURATION[attack]
+    if attack:
+        return int(SPAN[0] * SCALES[name]), int((SPAN[1] - SPAN[0]) * SCALES[name])
+    return 0, int(0.8 * min(SCALES[name], ATTACK_LIMITS.get(name, SCALES[name])) * SPAN[0])
+
+
+def _draw(name: str, attack: int, unit: str) -> str:
+    low, width = _range(name, attack)
     part = f"({unit}) * {width}"
-    return f"cast({low} as double) + " + (f"floor({part})" if kind == "i" else part)
+    whole = name.endswith(("_count", "_flags"))
+    return f"cast({low} as double) + " + (f"floor({part})" if whole else part)
 
 
 def feature_sql(name: str, key: str = "k") -> str:
     """A feature as SQL over the key and the attack flag ``lbl``, readable by any engine."""
     unit = _unit(key, FEATURES.index(name) + 1)
-    attack, normal = RANGES[name]
     cases = []
     if name == "flow_bytes_per_sec":
         cases += [f"when {key} % 499 = 0 then cast('Infinity' as double)", f"when {key} % 251 = 0 then null"]
     if name in ("syn_flag_count", "fwd_iat_mean"):
         cases.append(f"when {key} % 251 = 1 then null")
     cases += [
-        f"when lbl = 1 and {key} % 101 = {n} then cast({forced[name]} as double)"
-        for n, forced in FORCED.items() if name in forced
+        f"when lbl = {label} and {key} % {EDGE} = {n} then cast({values[name]} as double)"
+        for label, edges in ((1, ATTACK_EDGES), (0, NORMAL_EDGES)) for n, values in edges.items() if name in values
     ]
-    cases.append(f"when lbl = 1 then {_draw(*attack, unit)}")
-    return f"case {' '.join(cases)} else {_draw(*normal, unit)} end"
+    cases.append(f"when lbl = 1 then {_draw(name, 1, unit)}")
+    return f"case {' '.join(cases)} else {_draw(name, 0, unit)} end"
 
 
 def label_sql(key: str = "k") -> str:
-    return f"case when {_unit(key, 0)} < 0.3 then 1 else 0 end"
+    return f"case when {_unit(key, 0)} < {ATTACK_SHARE} then 1 else 0 end"
+
+
+def source_sql(key: str = "k", user: str = "u") -> str:
+    """Source address as SQL; some are missing or empty."""
+    attack = f"concat('172.16.', {user} % 3, '.', 20 + {user} % 50)"
+    normal = f"concat('198.18.', {user} % 4, '.', 1 + {user} % 200)"
+    return (
+        f"case when {key} % 997 = 0 then null when {key} % 991 = 0 then ''"
+        f" when lbl = 1 then {attack} else {normal} end"
+    )
+
+
+def port_sql(side: str, key: str = "k") -> str:
+    """Source or destination port as SQL."""
+    if side == "src":
+        return f"cast(1024 + ({key} * 37) % 60000 as int)"
+    services = " ".join(f"when {key} % 4 = {n} then {port}" for n, port in enumerate((22, 53, 443)))
+    return f"cast(case when lbl = 1 then ({key} * 13) % 1024 {services} else 8080 end as int)"
 
 
 def _identity() -> dict[str, Column]:
-    k, user, attack = F.col("k"), F.col("u"), F.col("lbl") == 1
-    address = F.when(
-        attack, F.concat(F.lit("192.168."), user % 3, F.lit("."), 100 + user % 50)
-    ).otherwise(F.concat(F.lit("10.0."), user % 4, F.lit("."), 1 + user % 200))
+    k = F.col("k")
     return {
         "flow_id": k,
         "batch_id": F.expr(f"k div {BATCH_ROWS}"),
         "timestamp": F.col("t"),
-        "src_ip": F.when(k % 997 == 0, None).when(k % 991 == 0, "").otherwise(address),
-        "dst_ip": F.concat(F.lit("10.0.0."), 1 + k % 254),
-        "src_port": F.when(attack, (k * 31) % 65535).otherwise(1024 + (k * 31) % 50000).cast("int"),
-        "dst_port": F.when(attack, 1 + k % 100).otherwise(80 + (k % 4) * 80).cast("int"),
+        "src_ip": F.expr(source_sql()),
+        "dst_ip": F.concat(F.lit("203.0.113."), 1 + k % 254),
+        "src_port": F.expr(port_sql("src")),
+        "dst_port": F.expr(port_sql("dst")),
         "protocol": F.when(k % 487 == 0, None).when(k % 3 == 0, "TCP").when(k % 3 == 1, "UDP").otherwise("ICMP"),
         "true_label": F.col("lbl").cast("double"),
     }
@@ -128,25 +128,11 @@ def _project(keyed: DataFrame) -> DataFrame:
     return labelled.select(*[e.alias(c) for c, e in _identity().items()], *features)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread a table of few, unsplittable files over all cores; larger tables are read as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def flows(spark: SparkSession, folder: str) -> DataFrame:
     """Flow records, one per event."""
     events = spark.read.parquet(f"{folder}/events.parquet")
     keyed = events.select(F.col("event_id").alias("k"), F.col("ts").alias("t"), F.col("user_id").alias("u"))
-    return _project(_spread(keyed))
-
-
-def flows_big(spark: SparkSession, folder: str) -> DataFrame:
-    """Flow records, one per order line. Keys are almost but not fully unique."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100003 + F.col("l_partkey")
-    keyed = lines.select(key.alias("k"), F.col("l_shipdate").alias("t"), F.col("l_suppkey").alias("u"))
-    return _project(_spread(keyed))
+    return _project(keyed)
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,7 +148,7 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
 def geo_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Address ranges of eight, one per supplier, in two blocks with gaps between the ranges."""
     k = F.col("s_suppkey")
-    start = F.when(k % 2 == 0, F.lit(167772160)).otherwise(F.lit(3232235520)) + F.expr("s_suppkey div 2") * 16
+    start = F.when(k % 2 == 0, F.lit(3323068416)).otherwise(F.lit(2886729728)) + F.expr("s_suppkey div 2") * 16
     return spark.read.parquet(f"{folder}/supplier.parquet").select(
         start.cast("bigint").alias("ip_from"),
         (start + 7).cast("bigint").alias("ip_to"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from netsift.operators.lookups import DESCRIPTIONS, OTHER_DESCRIPTION
 from netsift.operators.report import TEXTS
-from netsift.plans.flows import BATCH_ROWS, feature_sql, label_sql
+from netsift.plans.flows import BATCH_ROWS, feature_sql, label_sql, port_sql, source_sql
 from netsift.schema import FEATURES
 
 F = ", ".join(FEATURES)
@@ -18,12 +18,8 @@ base AS (SELECT event_id AS k, ts AS t, user_id AS u FROM events),
 labelled AS (SELECT *, {label_sql()} AS lbl FROM base),
 flows AS (
   SELECT k AS flow_id, k // {BATCH_ROWS} AS batch_id, t AS "timestamp",
-    CASE WHEN k % 997 = 0 THEN NULL WHEN k % 991 = 0 THEN ''
-         WHEN lbl = 1 THEN '192.168.' || (u % 3) || '.' || (100 + u % 50)
-         ELSE '10.0.' || (u % 4) || '.' || (1 + u % 200) END AS src_ip,
-    '10.0.0.' || (1 + k % 254) AS dst_ip,
-    CAST(CASE WHEN lbl = 1 THEN (k * 31) % 65535 ELSE 1024 + (k * 31) % 50000 END AS INTEGER) AS src_port,
-    CAST(CASE WHEN lbl = 1 THEN 1 + k % 100 ELSE 80 + (k % 4) * 80 END AS INTEGER) AS dst_port,
+    {source_sql()} AS src_ip, '203.0.113.' || (1 + k % 254) AS dst_ip,
+    {port_sql("src")} AS src_port, {port_sql("dst")} AS dst_port,
     CASE WHEN k % 487 = 0 THEN NULL WHEN k % 3 = 0 THEN 'TCP' WHEN k % 3 = 1 THEN 'UDP' ELSE 'ICMP' END AS protocol,
     CAST(lbl AS DOUBLE) AS true_label,
     {", ".join(f"{feature_sql(c)} AS {c}" for c in FEATURES)}
@@ -97,7 +93,7 @@ hashed AS (SELECT flow_id, src_ip, {_HASH} AS h,
     CASE WHEN address = '' OR address IS NULL THEN NULL ELSE
       (({_octet(1)} * 256 + {_octet(2)}) * 256 + {_octet(3)}) * 256 + {_octet(4)} END AS num
   FROM (SELECT *, src_ip AS address FROM flows)),
-places AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 167772160 ELSE 3232235520 END + (s_suppkey // 2) * 16 AS ip_from,
+places AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 3323068416 ELSE 2886729728 END + (s_suppkey // 2) * 16 AS ip_from,
     30.0::DOUBLE + (s_suppkey % 1000) / 100.0::DOUBLE AS lat, -10.0::DOUBLE + (s_suppkey % 700) / 100.0::DOUBLE AS lon FROM supplier)"""
 
 _RANGE_SQL = f"""WITH {_RANGES}
