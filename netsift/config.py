@@ -32,7 +32,9 @@ class StreamSettings:
     trigger: str = "10 seconds"
     max_offsets_per_trigger: int = 5_000
     starting_offsets: str = "latest"
-    fail_on_data_loss: bool = False
+    # False goes on without a word when offsets have expired before they were read.
+    fail_on_data_loss: bool = True
+    # Every n-th batch goes to the training lake, which bounds the rows that a retraining reads.
     training_every: int = 5
     # Tables of a micro-batch that are written at the same time.
     writers: int = 4

@@ -34,18 +34,22 @@ TEXTS = {
         "%s distinct CICIDS2017 attack types were detected, with **%s** being the most prevalent (%s events). "
         "The top source IPs are %s."
     ),
-    "rising": "The attack percentage has risen over the last %s data points. The volatility index is %s%%.",
-    "steady": "The attack percentage has remained relatively stable. The volatility index is %s%%: steady-state.",
-    "varying": "The attack percentage has remained relatively stable. The volatility index is %s%%: some variation.",
-    "burst": "Attack share ~%s%%. Higher volatility suggests burst activity.",
-    "sustained": "Attack share ~%s%%. Low volatility indicates sustained, steady-state attack patterns.",
+}
+# Own wording of the trend and the pattern.
+TEXTS |= {
+    "rising": "Attacks take a growing part of the traffic, seen over %s points; the index of volatility stands at %s%%.",
+    "steady": "Attacks keep their part of the traffic, and at a volatility of %s%% hardly move.",
+    "varying": "Attacks keep their part of the traffic, but at a volatility of %s%% they come and go.",
+    "burst": "About %s%% of the flows are attacks, and they arrive in waves.",
+    "sustained": "About %s%% of the flows are attacks, and they arrive evenly.",
 }
 
 
 def report_facts(alerts: DataFrame, stats: DataFrame, as_of: Column | datetime) -> DataFrame:
     """One row: class counts, top addresses, and the last points of the attack-percentage series.
 
-    All lists are bounded: classes by the cascade, addresses by 10, points by 10.
+    The lists are for display and hold at most ten classes, addresses and
+    points; totals and the number of classes cover all of them.
     """
     since = minutes_before(as_of, DAY)
     classes = alerts.groupBy("attack_type").agg(
@@ -63,19 +67,27 @@ def report_facts(alerts: DataFrame, stats: DataFrame, as_of: Column | datetime)
     def listed(df: DataFrame, *fields: Column | str) -> Column:
         return df.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
 
+    attacked = F.when(attack, F.col("cnt"))
+    totals = classes.agg(
+        F.coalesce(F.sum("recent"), F.lit(0)).alias("total_24h"),
+        F.coalesce(F.sum(F.when(F.col("attack_type") == BENIGN, F.col("cnt"))), F.lit(0)).alias("benign"),
+        F.coalesce(F.sum(attacked), F.lit(0)).alias("attack_total"),
+        F.count(attacked).alias("attack_types"),
+    )
     rank = (-F.col("cnt")).alias("rank")
     ips = top_attack_ips(alerts, 10)
     return (
         recent.agg(F.count("*").alias("points"), F.coalesce(F.avg("attack_percentage"), F.lit(0.0)).alias("attack_pct"))
         .withColumns(
             {
-                "total_24h": F.coalesce(classes.agg(F.sum("recent")).scalar(), F.lit(0)),
-                "benign": F.coalesce(classes.agg(F.sum(F.when(F.col("attack_type") == BENIGN, F.col("cnt")))).scalar(), F.lit(0)),
                 "types": listed(top_types, rank, "attack_type"),
                 "ips": listed(ips, rank, "src_ip"),
                 "series": listed(last_points, "timestamp", "batch_id", "attack_percentage"),
             }
         )
+        .withColumn("_totals", totals.select(F.struct("*")).scalar())
+        .select("*", "_totals.*")
+        .drop("_totals")
         .transform(_derive)
     )
 
@@ -98,7 +110,6 @@ def _derive(facts: DataFrame) -> DataFrame:
             "volatility": F.when(F.col("points") > TREND_POINTS, spread).otherwise(0.0),
             "top_type": F.get("types", F.lit(0))["attack_type"],
             "top_count": F.coalesce(-F.get("types", F.lit(0))["rank"], F.lit(0)),
-            "attack_total": F.aggregate("types", F.lit(0).cast("bigint"), lambda a, t: a - t["rank"]),
         }
     ).drop("_values", "_last", "_mean")
 
@@ -169,7 +180,7 @@ def summary_text(facts: DataFrame) -> DataFrame:
         TEXTS["summary"],
         F.format_number("total_24h", 0),
         _one_decimal(F.col("attack_pct")),
-        F.size("types"),
+        F.col("attack_types").cast("int"),
         F.coalesce("top_type", F.lit("unknown")),
         F.format_number("top_count", 0),
         F.array_join(first_three, ", "),
@@ -215,7 +226,6 @@ def threat_report(facts: DataFrame, report: ReportSettings = DEFAULTS.report) ->
     return facts.select(
         risk_level(F.col("attack_pct"), report).alias("risk_level"),
         "attack_pct", "total_24h", "attack_total", "benign", "points",
-        F.size("types").cast("bigint").alias("attack_types"),
-        "top_type", "top_count", "volatility",
+        "attack_types", "top_type", "top_count", "volatility",
         _trend(),
     )

@@ -15,12 +15,12 @@ def parquet_audit(spark: SparkSession, folder: str, pattern: str = "*.parquet")
     """One row per parquet file below ``folder``: ``file, status (OK/BAD), row_count``.
 
     Row counts come from the file footers, as no column is read. Files that
-    cannot be opened are skipped by that scan and so show up as BAD.
+    cannot be opened are skipped by that scan. A file without rows yields no row
+    either; it differs by its closing bytes: the length of a footer that fits
+    into the file, and the format's mark.
     """
     common = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
-    listed = (
-        spark.read.format("binaryFile").options(**common).load(folder).select(_bare(F.col("path")).alias("file"))
-    )
+    listed = spark.read.format("binaryFile").options(**common).load(folder)
     counted = (
         spark.read.options(**common, ignoreCorruptFiles="true")
         .schema("no_such_column int")
@@ -28,8 +28,17 @@ def parquet_audit(spark: SparkSession, folder: str, pattern: str = "*.parquet")
         .groupBy(_bare(F.col("_metadata.file_path")).alias("file"))
         .agg(F.count("*").alias("row_count"))
     )
-    return listed.join(counted, "file", "left").select(
-        "file",
-        F.when(F.col("row_count").isNull(), "BAD").otherwise("OK").alias("status"),
-        "row_count",
+    seen = listed.select(_bare(F.col("path")).alias("file"), "length").join(counted, "file", "left")
+    silent = seen.filter("row_count is null").select("file")
+    # Only files of which the scan reported no row are opened here, and a file without rows is little but a footer.
+    tails = listed.select(_bare(F.col("path")).alias("file"), "content").join(silent, "file", "left_semi")
+    digits = F.hex(F.reverse(F.substring("content", -8, 4)))
+    sound = (
+        (F.substring("content", 1, 4) == F.lit(b"PAR1")) & (F.substring("content", -4, 4) == F.lit(b"PAR1"))
+        & (F.conv(digits, 16, 10).cast("bigint") <= F.octet_length("content") - 12)
+    )
+    empty = tails.filter("octet_length(content) >= 12").filter(sound).select("file", F.lit(0).cast("bigint").alias("none"))
+    found = seen.join(empty, "file", "left").withColumn("row_count", F.coalesce("row_count", "none"))
+    return found.select(
+        "file", F.when(F.col("row_count").isNull(), "BAD").otherwise("OK").alias("status"), "row_count"
     )

@@ -28,7 +28,7 @@ from netsift.sinks.versions import Versions
 
 # Tables that are partitioned by date, and tables whose rows grow with the batch.
 DATED = ("alerts", "attacks_geo")
-LARGE = ("alerts", "attacks_geo", "attack_ips", "training")
+LARGE = ("alerts", "attacks_geo", "attack_ips", "attack_cube", "training")
 
 
 def flows_from(raw: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def refresh_rollups(spark: SparkSession, root: str) -> str:
     parts = rollups_from(read_table(spark, f"{root}/attack_cube"), read_table(spark, f"{root}/attack_ips"))
 
     def write(name: str) -> None:
-        parts[name].coalesce(1).write.mode("overwrite").parquet(f"{location}/{name}")
+        parts[name].hint("rebalance").write.mode("overwrite").parquet(f"{location}/{name}")
 
     with ThreadPoolExecutor(len(parts)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), parts))
