@@ -127,3 +127,116 @@ def op10_sentencepiece(spark, folder):
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.col("text")).alias("round_trip"),
     )
+
+
+# SQL twins. Words are cut as in the operators; the separators are space and 0x09 to 0x0D.
+
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]'), lambda w: w <> '')"
+_FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _components(nodes: str, links: str) -> str:
+    """CTEs ``reached`` and ``components`` (node, component) for links (a, b) in both directions."""
+    return f"""
+reached(node, root) AS (
+  SELECT node, node FROM {nodes} UNION SELECT l.b, r.root FROM reached r JOIN {links} l ON l.a = r.node AND r.root < l.b
+),
+components AS (SELECT node, min(root) AS component FROM reached GROUP BY node)"""
+
+
+ORACLE["op1_substring_dedup"] = f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
+windows AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS content FROM starts),
+later AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS place FROM windows
+  ) WHERE place > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS at FROM later),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM words),
+kept AS (
+  SELECT e.doc_id, count(*) AS n, coalesce(string_agg(e.word, ' ' ORDER BY e.at), '') AS content
+  FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.at = e.at GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.content, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
+
+ORACLE["op8_near_duplicates"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"coalesce({_FOLD}, '')")} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS content FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.content = b.content AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+),
+nodes AS (SELECT doc_id AS node FROM documents),{_components("nodes", "links")}
+SELECT c.node AS doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component AS component_id, c.node = c.component AS kept
+FROM components c LEFT JOIN sizes s ON s.doc_id = c.node"""
+
+ORACLE["op7_near_vectors"] = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+nodes AS (SELECT vec_id AS node FROM embeddings),{_components("nodes", "links")}
+SELECT c.node AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component AS component_id, c.node = c.component AS kept
+FROM components c LEFT JOIN counts n ON n.a = c.node"""
+
+
+def _reputation_sql() -> str:
+    limits = urls.Reputation()
+    rules = sorted(URL_RULES, key=lambda r: (len(r), r), reverse=True)
+
+    def fits(rule: str) -> str:
+        host, _, start = rule.partition("/")
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{start}')"
+
+    def strength(key: str) -> str:
+        return f"""(SELECT CASE WHEN coalesce(m, 0) < 2 OR variance <= 0 THEN {limits.most_strength}::DOUBLE
+    ELSE least(greatest(p * (1 - p) / variance - 1, {limits.least_strength}), {limits.most_strength}) END FROM (
+    SELECT m, p, ((kk - n * p * p) - (m - 1) * p * (1 - p)) / (n - nn / n) AS variance FROM (
+      SELECT count(*) AS m, sum(n) AS n, sum(n * n) AS nn, sum(k * k / n) AS kk, sum(k) / sum(n) AS p
+      FROM (SELECT {key}, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY {key}) WHERE n > 0)))"""
+
+    suffix = " ".join(f"WHEN host = '{s}' OR ends_with(host, '.{s}') THEN '{s}'" for s in limits.suffixes)
+    return f"""
+WITH cut AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+placed AS (SELECT page_id, url,
+  translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+outcome AS (SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+judged AS (SELECT p.host, o.bad FROM placed p JOIN outcome o
+  ON o.doc_id = TRY_CAST(regexp_extract(p.url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT)),
+counted AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k FROM judged WHERE host <> '' GROUP BY host),
+suffixed AS (SELECT *, CASE {suffix} ELSE list_last(string_split(host, '.')) END AS suffix FROM counted),
+hosts AS (SELECT *, array_to_string(string_split(host, '.')[greatest(len(string_split(host, '.')) - len(string_split(suffix, '.')), 1):], '.') AS domain
+  FROM suffixed),
+strengths AS (SELECT {strength("suffix")} AS s, {strength("domain")} AS d, {strength("host")} AS h,
+  coalesce((SELECT sum(k) / sum(n) FROM hosts), 0) AS mean),
+domains AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix, domain),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix),
+priors AS (SELECT d.domain, (d.k + t.d * (x.k + t.s * t.mean) / (x.n + t.s)) / (d.n + t.d) AS prior
+  FROM domains d JOIN suffixes x ON x.suffix = d.suffix, strengths t),
+rates AS (SELECT c.host, (c.k + t.h * p.prior) / (c.n + t.h) AS rate, c.n + t.h AS size
+  FROM hosts c JOIN priors p ON p.domain = c.domain, strengths t),
+ruled AS (SELECT *, CASE {" ".join(f"WHEN {fits(r)} THEN '{r}'" for r in rules)} END AS rule FROM placed)
+SELECT r.page_id, r.host, r.path, r.rule,
+  CASE {" ".join(f"WHEN r.rule = '{r}' THEN '{v}'" for r, v in URL_RULES.items())}
+    WHEN x.rate - {limits.bound} * sqrt(x.rate * (1 - x.rate) / (x.size + 1)) > {limits.bad_rate} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled r LEFT JOIN rates x ON x.host = r.host"""
+
+
+ORACLE["op2_url_reputation"] = _reputation_sql()

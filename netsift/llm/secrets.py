@@ -213,7 +213,9 @@ def fit(labelled: DataFrame, settings: Forest = Forest()) -> list[np.ndarray]:
     def tree(part: pd.DataFrame) -> pd.DataFrame:
         number = int(part["id"].iloc[0])
         rng = np.random.default_rng(number)
-        rows = rng.integers(0, len(shared.value[1]), len(shared.value[1]))
+        # Secrets are rare, so a bootstrap sample takes both classes alike.
+        kinds = [k for k in (np.flatnonzero(shared.value[1] == c) for c in (0, 1)) if len(k)]
+        rows = np.concatenate([rng.choice(k, len(shared.value[1]) // len(kinds) + 1) for k in kinds])
         nodes = grow(shared.value[0][rows], shared.value[1][rows], rng, settings)
         return pd.DataFrame({"tree": number, "nodes": [nodes]})
 
