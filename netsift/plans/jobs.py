@@ -8,26 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.config import ForestSettings
-from netsift.functions.times import wire_time
-from netsift.operators import clean, forest, rollups
+from netsift.functions.times import minutes_before, wire_time
+from netsift.operators import clean, forest, geo, rollups, serve
 from netsift.operators.detect import detect
 from netsift.plans import dashboard, tables
-from netsift.plans.catalog import query
+from netsift.plans.catalog import query, register
 from netsift.schema import FEATURES, LABEL
 from netsift.session import scratch_dir
-from netsift.sinks.tables import read_table, write_batch
+from netsift.sinks.tables import DATE, read_table, write_batch
 from netsift.sinks.versions import Versions
 from netsift.sources.streams import read_flow_stream
 from netsift.sources.tables import read_lake, read_table as read_source, read_training_csv
 from netsift.streaming import fanout as stream
-from netsift.streaming.timeline import read_timeline, start_timeline, windowed_counts
+from netsift.streaming.timeline import dropped_rows, read_timeline, start_timeline, windowed_counts
 
 WIRE_ALERT = (
     "timestamp", "attack_type", "src_ip", "dst_ip", "src_port", "dst_port", "protocol",
     "severity", "prediction", "true_label",
 )
-# Longer than the event-time span of the check tables, whose files arrive in no particular order.
-LATENESS = "40 days"
+TOPIC = "key string, value string, partition int, offset bigint"
 _ROOTS: dict[tuple[str, str], str] = {}
 
 
@@ -35,6 +34,12 @@ def wire_stream(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
     return read_flow_stream(spark, "text", {"maxFilesPerTrigger": str(files)}, tables.wire(spark, folder))
 
 
+def topic_stream(spark: SparkSession, folder: str, files: int = 2) -> DataFrame:
+    return read_flow_stream(
+        spark, "parquet", {"maxFilesPerTrigger": str(files)}, tables.topic(spark, folder), schema=TOPIC
+    )
+
+
 def finish(query) -> None:
     query.awaitTermination()
 
@@ -45,7 +50,7 @@ def detected(spark: SparkSession, folder: str) -> str:
     if key not in _ROOTS:
         root = scratch_dir(spark, "stream")
         fan = stream.FanOut(spark, root)
-        finish(stream.start_detection(wire_stream(spark, folder), fan, f"{root}/checkpoint", once=True))
+        finish(stream.start_detection(topic_stream(spark, folder), fan, f"{root}/checkpoint", once=True))
         _ROOTS[key] = root
     return _ROOTS[key]
 
@@ -124,6 +129,34 @@ def geo_feed(spark, folder):
     return rows.select("src_ip", "attack_type", "severity", "timestamp", "latitude", "longitude", "geo_source")
 
 
+def served(table: str, function: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
+    """A serving query on a table as the stream wrote it."""
+    return lambda spark, folder: function(stream_table(table)(spark, folder), *args).drop("batch_id", "geom", "geom_ewkt", DATE)
+
+
+for _name, _query in {
+    "stream_alert_page": served("alerts", serve.alert_page, 2, 50),
+    "stream_recent_alerts": served("alerts", serve.recent_alerts),
+    "stream_alerts_by_type": served("alerts", serve.alerts_where, "attack_type", "PortScan"),
+    "stream_geo_recent": served("attacks_geo", serve.geo_recent),
+    "stream_geo_map": served("attacks_geo", geo.geo_map),
+    "stream_geo_bbox": served("attacks_geo", geo.geo_bbox),
+}.items():
+    register(_name, _query)
+
+
+@query
+def stream_geo_since(spark, folder):
+    day = minutes_before(serve.latest_moment(stream_table("alerts")(spark, folder)), 1_440)
+    return served("attacks_geo", serve.geo_since, day)(spark, folder)
+
+
+@query
+def stream_geo_points(spark, folder):
+    """Points of the stored locations, in their text form."""
+    return stream_table("attacks_geo")(spark, folder).select("flow_id", "geom.lon", "geom.lat", "geom.srid")
+
+
 @query
 def training_sink(spark, folder):
     """Lake rows of the stream: those of every fifth batch."""
@@ -162,12 +195,17 @@ def dashboard_stored(spark, folder):
 
 @query
 def idempotent_replay(spark, folder):
-    """Row counts after the batch of all flows was written twice."""
+    """Row counts after the batch of all flows replaced attempts with other dates and with other rows."""
     root = scratch_dir(spark, "replay")
     fan = stream.FanOut(spark, root)
     batch = tables.stored_flows(spark, folder)
-    for _ in range(2):
-        fan(batch, 0)
+    shifted = F.col("timestamp") + F.expr("INTERVAL 400 DAYS")
+    fan(batch.withColumn("timestamp", shifted), 0)
+    fan(batch, 0)
+    fan(batch.filter("flow_id % 2 = 0"), 1)
+    for table in ("alerts", "attacks_geo", "traffic_stats"):
+        # A retry of the second batch that finds no rows any more.
+        write_batch(read_table(spark, f"{root}/{table}").limit(0), f"{root}/{table}", 1, dated=table in stream.DATED)
     return counts_of(spark, root)
 
 
@@ -205,8 +243,14 @@ def recovery(spark, folder):
 def stream_timeline(spark, folder):
     root = scratch_dir(spark, "timeline")
     parsed = stream.flows_from(wire_stream(spark, folder))
-    counts = windowed_counts(detect(clean.clean_all(parsed)), LATENESS)
-    finish(start_timeline(counts, f"{root}/data", f"{root}/checkpoint", once=True))
+    # Files arrive in no particular order, so a row can be as late as the table's span.
+    span = (F.unix_timestamp(F.max("timestamp")) - F.unix_timestamp(F.min("timestamp"))).alias("seconds")
+    seconds = tables.stored_flows(spark, folder).agg(span).first()["seconds"] or 0
+    counts = windowed_counts(detect(clean.clean_all(parsed)), f"{seconds + 60} seconds")
+    running = start_timeline(counts, f"{root}/data", f"{root}/checkpoint", once=True)
+    finish(running)
+    if dropped_rows(running):
+        raise RuntimeError(f"{dropped_rows(running)} rows came too late")
     return read_timeline(spark, f"{root}/data")
 
 

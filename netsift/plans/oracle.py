@@ -518,6 +518,15 @@ ORACLE: dict[str, str] = {
         "count(*) FILTER (WHERE prediction = 1) AS attack_count FROM alerts"
     ),
     "geo_feed": _geo('SELECT src_ip, attack_type, severity, "timestamp", latitude, longitude, geo_source FROM geo'),
+    "stream_alert_page": _alerts(f"SELECT {_LISTING} FROM alerts ORDER BY {_NEWEST} LIMIT 50 OFFSET 100"),
+    "stream_recent_alerts": _alerts(
+        'SELECT flow_id, "timestamp", attack_type, src_ip, dst_ip, protocol, severity '
+        f"FROM alerts ORDER BY {_NEWEST} LIMIT 25"
+    ),
+    "stream_alerts_by_type": _alerts(f"SELECT {_LISTING} FROM alerts WHERE attack_type = 'PortScan' ORDER BY {_NEWEST}"),
+    "stream_geo_recent": _geo(f"SELECT * EXCLUDE (batch_id) FROM geo ORDER BY {_NEWEST} LIMIT 500"),
+    "stream_geo_since": _geo(f"SELECT * EXCLUDE (batch_id) FROM geo WHERE {_SINCE_DAY} ORDER BY {_NEWEST}"),
+    "stream_geo_points": _geo("SELECT flow_id, longitude AS lon, latitude AS lat, 4326::INTEGER AS srid FROM geo"),
     "refresh_rollups": _alerts(_ROLLUPS),
     # Batches of the stream are cut differently, so the sections per batch are left out on both sides.
     "dashboard_stored": f"SELECT * FROM (WITH {_DASHBOARD}) WHERE section NOT IN ('latest', 'traffic_timeline', 'mean')",
@@ -532,3 +541,4 @@ ORACLE: dict[str, str] = {
     ),
     "train_gate": "SELECT * FROM (VALUES ('met', NULL), ('missed', 'not enough rows'), ('unlabelled', 'no label column')) AS t(gate, skipped)",
 }
+ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("geo_map", "geo_bbox")}

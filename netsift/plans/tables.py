@@ -36,6 +36,10 @@ def _stored(spark: SparkSession, folder: str, name: str, write: Callable[[str],
     return _PATHS[key]
 
 
+def _kept(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    return spark.read.parquet(_stored(spark, folder, name, lambda path: make().write.parquet(path)))
+
+
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
     """The stored alerts of all flows, partitioned by date."""
     return read_table(spark, _stored(spark, folder, "alerts", lambda path: write_table(flows.alerts(spark, folder), path)))
@@ -62,6 +66,17 @@ def wire(spark: SparkSession, folder: str) -> str:
     return _stored(spark, folder, "wire", write)
 
 
+def topic(spark: SparkSession, folder: str) -> str:
+    """Folder of the same messages as a topic's records: key, value, partition, offset."""
+
+    def write(path: str) -> None:
+        place = (F.lit(0).alias("partition"), F.col("flow_id").alias("offset"))
+        messages = encode_flows(stored_flows(spark, folder), "flow_id").select("key", "value", *place)
+        messages.repartition(8).write.parquet(path)
+
+    return _stored(spark, folder, "topic", write)
+
+
 def lake(spark: SparkSession, folder: str) -> str:
     """Folder of the training lake with all labelled flows."""
     return _stored(
@@ -79,8 +94,9 @@ def models(spark: SparkSession, folder: str) -> Versions:
 
 
 def stats(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.traffic_stats(alerts(spark, folder))
+    """Traffic statistics per batch, written once as the stream writes them."""
+    return _kept(spark, folder, "stats", lambda: metrics.traffic_stats(alerts(spark, folder)))
 
 
 def model_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.model_metrics(alerts(spark, folder))
+    return _kept(spark, folder, "model_metrics", lambda: metrics.model_metrics(alerts(spark, folder)))

@@ -1,9 +1,9 @@
 """Parquet tables that tolerate replays.
 
-Every micro-batch owns the partitions that carry its ``batch_id``. Writing a
-batch replaces just these (dynamic partition overwrite), so a batch that is
-replayed after a failure leaves the same table. Tables with a ``timestamp`` are
-also partitioned by its date, by which readers prune.
+Every micro-batch owns the folder that carries its ``batch_id``. Writing a batch
+replaces this folder as a whole, so a replay after a failure leaves no row of an
+earlier attempt, also where it writes other dates or no rows at all. Tables with
+a ``timestamp`` are also partitioned by its date, by which readers prune.
 """
 
 from __future__ import annotations
@@ -33,17 +33,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int, dated: bool = True, sma
 
     ``small`` is for tables of a few rows per batch, which go into one file.
     """
-    rows = df.drop("batch_id").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if dated:
-        rows = with_date(rows)
+    rows = with_date(df.drop("batch_id")) if dated else df.drop("batch_id")
     keys = [DATE] if dated else []
     rows = rows.coalesce(1) if small else rows.hint("rebalance", *keys)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys, "batch_id")
-        .parquet(path)
-    )
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*keys) if keys else writer).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ from netsift.functions.times import read_wire_time
 from netsift.operators.clean import clean_all, training_rows
 from netsift.operators.detect import to_alerts
 from netsift.operators.forest import ModelCache, score
-from netsift.operators.geo import attacks_geo, fit_for_broadcast
+from netsift.operators.geo import attacks_geo, fit_for_broadcast, geo_point
 from netsift.operators.metrics import METRICS, STATS, attack_summary, batch_counts, with_scores, with_shares
 from netsift.operators.parse import parse_flows
 from netsift.operators.rollups import attack_cube, attack_ips, rollups_from
@@ -25,6 +25,7 @@ from netsift.operators.serve import geo_after_batch, latest_moment
 from netsift.plans.dashboard import sections
 from netsift.sinks.tables import exists, read_table, write_batch
 from netsift.sinks.versions import Versions
+from netsift.sources.streams import record_key
 
 # Tables that are partitioned by date, and tables whose rows grow with the batch.
 DATED = ("alerts", "attacks_geo")
@@ -38,7 +39,8 @@ def flows_from(raw: DataFrame) -> DataFrame:
     micro-batch, also when the batch is replayed. Row and malformed-record
     counts of each batch appear in the query's progress.
     """
-    parsed = parse_flows(raw)
+    keyed = raw if "flow_id" in raw.columns else raw.withColumn("flow_id", record_key(raw.columns, "raw_value"))
+    parsed = parse_flows(keyed, "flow_id")
     ingest = F.current_timestamp().cast("timestamp_ntz")
     timed = parsed.withColumns(
         {"timestamp": F.coalesce(read_wire_time(F.col("timestamp")), ingest), "ingest_time": ingest}
@@ -95,10 +97,10 @@ class FanOut:
                 return
             log = [("score", int((time.monotonic() - start) * 1000))]
             one = spark.createDataFrame([row], counts.schema)
-            light = to_alerts(scored).drop("raw_features")
+            light = to_alerts(scored, "flow_id").drop("raw_features")
             tables = {
-                "alerts": to_alerts(scored, "ingest_time", "attack_probability"),
-                "attacks_geo": attacks_geo(light, ranges=self.ranges, geo=self.settings.geo, small=self.small_ranges),
+                "alerts": to_alerts(scored, "flow_id", "ingest_time", "attack_probability"),
+                "attacks_geo": geo_point(attacks_geo(light, "flow_id", ranges=self.ranges, geo=self.settings.geo, small=self.small_ranges)),
                 "attack_ips": attack_ips(light),
                 "attack_cube": attack_cube(light),
                 "attack_summary": attack_summary(scored, probability=True),

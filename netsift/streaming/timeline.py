@@ -42,6 +42,11 @@ def start_timeline(counts: DataFrame, path: str, checkpoint: str, once: bool = F
     )
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark has dropped so far, in the batches of which the query keeps the progress."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def read_timeline(spark: SparkSession, path: str) -> DataFrame:
     """The newest count of each window and class, oldest first."""
     changes = read_table(spark, path)
