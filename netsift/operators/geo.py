@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netsift.config import DEFAULTS, GeoSettings
@@ -76,12 +76,37 @@ def _by_prefix(ranges: DataFrame) -> DataFrame:
     )
 
 
+def _lookup_sorted(addresses: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Left range join by order: as ranges do not overlap, only the last one that starts at or before a number can hold it.
+
+    Addresses and range starts of a prefix are sorted together and the last
+    range is carried forward, so the work is linear in both.
+    """
+    start = F.greatest("ip_from", F.shiftleft(F.col("_prefix"), 32 - PREFIX_BITS))
+    starts = pieces.select("_prefix", start.alias("_at"), F.struct("ip_to", "_lat", "_lon").alias("_range"))
+    points = addresses.filter("_number IS NOT NULL").select(
+        _prefix(F.col("_number")).alias("_prefix"), F.col("_number").alias("_at"), F.struct(*addresses.columns).alias("_row")
+    )
+    # A range start comes before the addresses at the same number, as it has no row.
+    order = Window.partitionBy("_prefix").orderBy("_at", F.col("_row").isNotNull())
+    both = starts.unionByName(points, allowMissingColumns=True).withColumn(
+        "_range", F.last("_range", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    holds = F.col("_at") <= F.col("_range.ip_to")
+    found = both.filter("_row IS NOT NULL").select(
+        "_row.*", F.when(holds, F.col("_range._lat")).alias("_lat"), F.when(holds, F.col("_range._lon")).alias("_lon")
+    )
+    return found.unionByName(addresses.filter("_number IS NULL"), allowMissingColumns=True)
+
+
 def _lookup(addresses: DataFrame, ranges: DataFrame, small: bool) -> DataFrame:
     """Left range join on the prefix; ``addresses`` carries ``_number``."""
     pieces = _by_prefix(ranges)
+    if not small:
+        return _lookup_sorted(addresses, pieces)
     keyed = addresses.withColumn("_prefix", _prefix(F.col("_number")))
     match = (keyed["_prefix"] == pieces["_prefix"]) & keyed["_number"].between(pieces["ip_from"], pieces["ip_to"])
-    joined = keyed.join(F.broadcast(pieces) if small else pieces, match, "left")
+    joined = keyed.join(F.broadcast(pieces), match, "left")
     return joined.drop("_prefix", "ip_from", "ip_to")
 
 

@@ -47,8 +47,8 @@ def nonnull_counts(df: DataFrame, columns: Iterable[str] = CHECKED) -> DataFrame
 
 
 def nonnull_sample(df: DataFrame, column: str = "flow_bytes_per_sec", limit: int = 5) -> DataFrame:
-    """A few rows in which a column is set."""
-    return df.filter(F.col(column).isNotNull()).limit(limit)
+    """A few rows in which a column is set: those with the smallest ids."""
+    return df.filter(F.col(column).isNotNull()).orderBy("flow_id").limit(limit)
 
 
 def missing_addresses(df: DataFrame) -> DataFrame:

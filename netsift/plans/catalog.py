@@ -113,12 +113,17 @@ def normalize_columns_(spark, folder):
 
 @query
 def pack_features(spark, folder):
-    return base.flows(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
+    """The packed text: how many of its fields are set, and two of them as JSON paths read them."""
+    packed = base.flows(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
+    field = lambda c: F.get_json_object("raw_features", f"$.{c}").cast("double").alias(c)
+    names = F.size(F.json_object_keys("raw_features")).cast("bigint").alias("fields")
+    return packed.select("flow_id", names, field("flow_duration"), field("true_label"))
 
 
 @query
 def unpack_features(spark, folder):
-    return parse.unpack_features(pack_features(spark, folder), "flow_id")
+    packed = base.flows(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
+    return parse.unpack_features(packed, "flow_id")
 
 
 # Cleaning
@@ -322,7 +327,11 @@ register("rate_by_interval_3h", on(tables.alerts, rollups.rate_by_interval, 10_8
 
 @query
 def approx_attackers(spark, folder):
-    return serve.approx_attackers(tables.alerts(spark, folder))
+    """The exact number, and whether the approximate one lies within three standard errors of it."""
+    rows = tables.alerts(spark, folder)
+    about = serve.approx_attackers(rows).scalar()
+    off = F.abs(about - F.col("cnt")) <= 3 * 0.02 * F.col("cnt")
+    return serve.unique_attackers(rows).withColumn("within_error", off)
 
 
 @query

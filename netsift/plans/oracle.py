@@ -542,3 +542,30 @@ ORACLE: dict[str, str] = {
     "train_gate": "SELECT * FROM (VALUES ('met', NULL), ('missed', 'not enough rows'), ('unlabelled', 'no label column')) AS t(gate, skipped)",
 }
 ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("geo_map", "geo_bbox")}
+
+# Trainings and streams: what must hold whatever the model or the cut of the batches (eight files, one per batch).
+_TRAINED = _flows(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE true_label = 1) AS attacks, "
+    "NULL::VARCHAR AS skipped, true AS accurate FROM flows"
+)
+ORACLE |= {
+    "train_forest": _TRAINED,
+    "retrain": _TRAINED,
+    "train_csv": _TRAINED,
+    "score": _flows('SELECT true_label, count(*) AS cnt, true AS "right" FROM flows GROUP BY true_label'),
+    "approx_attackers": _alerts("SELECT count(DISTINCT src_ip) AS cnt, true AS within_error FROM attacks"),
+    "nonnull_sample": _flows(
+        f"SELECT {_ID}, {F} FROM flows WHERE flow_bytes_per_sec IS NOT NULL ORDER BY flow_id LIMIT 5"
+    ),
+    "pack_features": _flows(
+        "SELECT flow_id, (1 + " + " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in FEATURES)
+        + ")::BIGINT AS fields, flow_duration, true_label FROM flows"
+    ),
+    "training_sink": "SELECT 2::BIGINT AS batches, 0::BIGINT AS wrong",
+    "progress": _alerts(
+        "SELECT stage, 8::BIGINT AS batches, (SELECT count(*) FROM alerts)::BIGINT AS batch_rows FROM (VALUES "
+        "('score'), ('alerts'), ('attacks_geo'), ('attack_ips'), ('attack_cube'), ('attack_summary'), "
+        "('model_metrics'), ('traffic_stats')) AS s(stage) UNION ALL "
+        "SELECT 'training', 2, CAST((SELECT count(*) FROM alerts) / 4 AS BIGINT)"
+    ),
+}

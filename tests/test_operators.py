@@ -84,6 +84,24 @@ def test_derived_flows_meet_every_class_and_outcome(spark, folder):
     assert outcomes == {(a, b) for a in (0.0, 1.0) for b in (0.0, 1.0)}
 
 
+def test_many_ranges_in_one_prefix(spark):
+    base = 167_772_160
+    ranges = spark.range(30_000).select(
+        (F.col("id") * 2 + base).alias("ip_from"), (F.col("id") * 2 + base).alias("ip_to"),
+        F.col("id").cast("double").alias("latitude"), F.lit(1.0).alias("longitude"),
+    )
+    wide = spark.createDataFrame([(base + 65_536, base + 200_000, -5.0, 2.0)], ranges.schema)
+    texts = ["10.0.0.0", "10.0.0.1", "10.0.0.8", "10.0.200.4", "10.1.0.0", "10.3.13.64", "10.3.13.65", "9.255.255.255", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts * 2], "src_ip string")
+    got = {
+        small: sorted(((r["src_ip"] or "", r["latitude"], r["geo_source"]) for r in geo.geo_range_join(rows, ranges.union(wide), small=small).collect()))
+        for small in (True, False)
+    }
+    assert got[True] == got[False] and len(got[True]) == 20
+    found = {t: v for t, v, source in got[False] if source == "range"}
+    assert found == {"10.0.0.0": 0.0, "10.0.0.8": 4.0, "10.0.200.4": 25_602.0, "10.1.0.0": -5.0, "10.3.13.64": -5.0}
+
+
 # Cleaning
 
 SAMPLE = [NAN, INF, -INF, None, 1.5]
