@@ -38,5 +38,4 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="netsift-")
         warnings.warn(f"spark.checkpoint.dir is not set; this local session uses {base}", stacklevel=2)
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/netsift/{purpose}-{uuid.uuid4().hex}"
