@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.session import scratch_dir
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python in batches of at most ``BATCH_BYTES``, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def numbered_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id`` and ``text`` of every row; a column that has the name and type already is taken as it is.
 

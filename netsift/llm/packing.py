@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from netsift.llm.links import small_batches
 from netsift.llm.text import pieces
 
 CAPACITY = 1024
@@ -166,6 +167,7 @@ def pack(
     """
     if capacity & (capacity - 1) or not 0 < smallest <= capacity:
         raise ValueError("capacity must be a power of two and smallest at most as large")
+    small_batches(docs.sparkSession)
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

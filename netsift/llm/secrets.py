@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netsift.llm.links import small_batches
 from netsift.llm.text import NOT_WORD, pieces, words
 
 SHORTEST = 16
@@ -70,6 +71,8 @@ class Corpus:
 def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
     """Counts over all texts. Words are of two to six letters a-z, A-Z lower-cased."""
 
+    small_batches(docs.sparkSession)
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(_CLASSES * _CLASSES, np.int64)
         for batch in pieces(batches):
@@ -248,9 +251,11 @@ def scan(
     Null and empty texts have no findings. Rows are handled one by one, so
     repeated rows keep a row each; a column ``findings`` is replaced.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((known, trees))
-    others = [c for c in docs.columns if c != "findings"]
-    rest = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(others)])
+    keep = [c for c in docs.columns if c != "findings"]
+    others = [c for c in keep if c != text_column]
+    rest = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("none"))
     kind = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("secret", pa.bool_())])
     )
@@ -267,12 +272,15 @@ def scan(
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for (row, start, end), s in zip(spans, score):
                 out[row].append({"start": start, "end": end, "score": float(s), "secret": bool(s >= threshold)})
-            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(out, kind)], ["rest", "findings"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("text"), batch.column("rest"), pa.array(out, kind)], ["text", "rest", "findings"]
+            )
 
     rows = docs.select(docs[text_column].cast("string").alias("text"), rest.alias("rest"))
-    result = rows.select("rest").schema.add("findings", rows.select(F.lit(None).cast(FOUND)).schema[0].dataType)
+    result = rows.select("text", "rest").schema.add("findings", rows.select(F.lit(None).cast(FOUND)).schema[0].dataType)
     done = rows.mapInArrow(run, result)
-    return done.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)], "findings")
+    place = {c: f"rest.c{i}" for i, c in enumerate(others)} | {text_column: "text"}
+    return done.select(*[F.col(place[c]).alias(c) for c in keep], "findings")
 
 
 def redacted(text: str = "text", findings: str = "findings", mark: str = "[SECRET]") -> F.Column:

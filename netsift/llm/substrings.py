@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
+from netsift.llm.links import small_batches
 from netsift.llm.text import Words, pieces, runs, starts_of, words
 
 WINDOW = 20
@@ -247,6 +248,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = docs.select(
         docs[id_column].cast("bigint").alias("doc_id"), docs[text_column].cast("string").alias("text"), rest.alias("rest")
     )
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-size // GROUP_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))

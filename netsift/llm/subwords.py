@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netsift.llm.links import small_batches
 from netsift.llm.text import pieces
 
 CHUNK = 1 << 16
@@ -202,6 +203,7 @@ def encode(
     and give no ids. Repeated rows keep a row each, a null id stays null, other
     columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         docs[id_column].cast("bigint").alias("doc_id"), F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text")
     )

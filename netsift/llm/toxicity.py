@@ -16,11 +16,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netsift.llm.links import small_batches
 from netsift.llm.text import NOT_WORD, Words, mix, pieces, words
 
 #: Lengths in bytes of the word beginnings that are features too.
@@ -102,6 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl()) -> Weights:
     smallest hashes of their ids; only their feature numbers are shuffled.
     Without any labelled document all scores are one half.
     """
+    small_batches(docs.sparkSession)
     chosen = (
         labels.filter("doc_id is not null and label is not null")
         .groupBy("doc_id")
@@ -125,17 +126,20 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl()) -> Weights:
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = sample.mapInArrow(to_features, "doc_id bigint, label int, f binary")
 
-    def train(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("order")
-        data = [(np.frombuffer(f, np.int32), int(y)) for f, y in zip(part["f"], part["label"])]
+    def train(part: pa.Table) -> pa.Table:
+        # The feature numbers stay in Arrow's buffers; only the order of the rows is made.
+        order = np.argsort(part.column("order").to_numpy(), kind="stable")
+        blobs = [b for chunk in part.column("f").chunks for b in chunk]
+        labels = part.column("label").to_numpy()
+        data = [(np.frombuffer(blobs[i].as_buffer(), np.int32), int(labels[i])) for i in order]
         index, value, bias = ftrl(data, settings)
-        return pd.DataFrame({"i": np.append(index, -1).astype("int32"), "w": np.append(value, bias)})
+        return pa.table({"i": np.append(index, -1).astype("int32"), "w": np.append(value, bias)})
 
     trained = (
         rows.withColumn("order", F.xxhash64("doc_id", F.lit(1)))
         .withColumn("shard", F.pmod("order", F.lit(settings.shards)))
         .groupBy("shard")
-        .applyInPandas(train, "i int, w double")
+        .applyInArrow(train, "i int, w double")
     )
     # At most one row for each of the 2**bits features comes back.
     table = trained.groupBy("i").agg(F.sum("w").alias("w"), F.count("*").alias("c")).toPandas()
@@ -156,9 +160,13 @@ def score(docs: DataFrame, weights: Weights, text_column: str = "text", keep: li
     scored each for itself; columns named as the results are replaced, and an
     empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
-    rest = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)])
+    # The text goes through once, not a second time among the other columns.
+    others = [c for c in keep if c != text_column]
+    rest = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("none"))
+    with_text = text_column in keep
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
@@ -170,10 +178,11 @@ def score(docs: DataFrame, weights: Weights, text_column: str = "text", keep: li
             keys = np.unique((owner[hit].astype(np.int64) << 32) | index[hit])
             sums = np.bincount(keys >> 32, dense[keys & 0xFFFFFFFF].astype(np.float64), batch.num_rows) + w.bias
             p = 1.0 / (1.0 + np.exp(-np.clip(sums, -500, 500)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rest"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["rest", "score", "predicted"]
-            )
+            out = {"rest": batch.column("rest"), "score": p, "predicted": (p >= 0.5).astype(np.int32)}
+            yield pa.RecordBatch.from_pydict({"text": batch.column("text"), **out} if with_text else out)
 
     rows = docs.select(docs[text_column].cast("string").alias("text"), rest.alias("rest"))
-    done = rows.mapInArrow(run, rows.select("rest").schema.add("score", "double").add("predicted", "integer"))
-    return done.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
+    shown = rows.select("text", "rest") if with_text else rows.select("rest")
+    done = rows.mapInArrow(run, shown.schema.add("score", "double").add("predicted", "integer"))
+    place = {c: f"rest.c{i}" for i, c in enumerate(others)} | {text_column: "text"}
+    return done.select(*[F.col(place[c]).alias(c) for c in keep], "score", "predicted")
