@@ -277,7 +277,9 @@ def encode(
     giants = rows.filter(F.length("text") > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
     giants = giants.withColumn("key", F.xxhash64("doc_id", "text"))
     parts = "doc_id bigint, key bigint, chunk int, context string, cut int, end int, last boolean"
-    chunks = giants.select("doc_id", "key", "text").mapInArrow(cut, parts).repartition("key", "chunk")
+    # A given number of partitions is kept: chunks are few bytes but much work, and must not be put together by size.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = giants.select("doc_id", "key", "text").mapInArrow(cut, parts).repartition(tasks, "key", "chunk")
     matrices = chunks.mapInArrow(
         transfers, "doc_id bigint, key bigint, chunk int, entries binary, exits binary, matrix binary"
     )
