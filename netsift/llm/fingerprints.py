@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from netsift.llm.links import numbered_texts
 from netsift.llm.text import SPACE
 from netsift.session import scratch_dir
 
@@ -28,23 +29,37 @@ def _bin(value: Column) -> Column:
     return F.shiftrightunsigned(value, 64 - BIN_BITS).cast("int")
 
 
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda x: x != "")
+
+
+def hashes_of(words: Column) -> Column:
+    """Hash of each shingle, in order; that of all words where they are fewer than a shingle has."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1)))
+    hashed = F.when(F.size(words) > 0, F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, SHINGLE))))
+    return F.coalesce(hashed, F.array().cast("array<bigint>"))
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add ``name``: an array of the kept bits of all bins, empty for a text without words.
 
     A text of fewer than five words has one shingle, its whole word sequence.
     Null counts as empty.
     """
-    w, h, f, b = (f"_{name}_{part}" for part in ("words", "hashes", "firsts", "bins"))
-    found = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SPACE + "+"), lambda x: x != "")
-    worded = df.withColumn(w, found)
-    starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1)))
-    hashed = F.when(F.size(w) > 0, F.transform(starts, lambda i: F.xxhash64(F.slice(F.col(w), i, SHINGLE))))
-    sorted_ = worded.withColumn(h, F.sort_array(F.coalesce(hashed, F.array().cast("array<bigint>")))).drop(w)
+    words, hashes = f"_{name}_words", f"_{name}_shingles"
+    hashed = df.withColumn(words, words_of(F.col(text))).withColumn(hashes, hashes_of(F.col(words)))
+    return binned(hashed, hashes, name).drop(words, hashes)
+
+
+def binned(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    """Add the fingerprint ``name`` out of the shingle hashes in column ``hashes``."""
+    h, f, b = (f"_{name}_{part}" for part in ("hashes", "firsts", "bins"))
+    sorted_ = df.withColumn(h, F.sort_array(hashes))
     # Sorted by hash, the values of a bin stand together and its smallest comes first.
     first = F.filter(
         F.col(h), lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(F.col(h), i - 1)))
     )
-    binned = sorted_.withColumn(f, first).drop(h).withColumn(b, F.transform(f, _bin))
+    grouped = sorted_.withColumn(f, first).drop(h).withColumn(b, F.transform(f, _bin))
     low, high = (F.lit(v).cast("bigint") for v in (BINS - 1, -BINS))
 
     def borrowed(j: Column) -> Column:
@@ -63,7 +78,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         .otherwise(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value))
     )
     kept = F.transform(full, lambda x: x.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint")).cast("smallint"))
-    return binned.withColumn(name, kept).drop(f, b)
+    return grouped.withColumn(name, kept).drop(f, b)
 
 
 def packed(fingerprint: Column) -> Column:
@@ -127,18 +142,19 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column:
     Texts are shuffled once by id, and their beginnings once to the document
     before.
     """
-    rows = docs.select(
-        docs[id_column].cast("bigint").alias("doc_id"), F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text")
-    )
-    ids = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
+    rows = numbered_texts(docs, id_column, text_column)
+    numbered = rows.filter("doc_id is not null")
+    ids = numbered.groupBy("doc_id").agg(F.coalesce(F.max(F.length("text")), F.lit(0)).alias("n"))
     order = neighbours(ids)
-    marked = with_fingerprint(rows, "text", "fingerprint").repartition("doc_id")
+    # Both joins below read this one exchange. Null ids or lambda functions in it would make two different ones of
+    # it, so a document's fingerprint is computed behind the exchange, for itself and for the document before.
+    dealt = numbered.repartition("doc_id")
     heads = (
-        marked.join(order, "doc_id")
+        with_fingerprint(dealt.join(order, "doc_id"), "text", "fingerprint")
         .select(
             F.col("prev_id").alias("doc_id"),
             F.struct(
-                F.expr("substring(text, 1, int(prev_n div 4))").alias("head"), F.col("fingerprint").alias("next")
+                F.expr("coalesce(substring(text, 1, int(prev_n div 4)), '')").alias("head"), F.col("fingerprint").alias("next")
             ).alias("found"),
         )
         .groupBy("doc_id")
@@ -150,12 +166,24 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column:
         " coalesce(substring(head, 1, int(n_chars div 4)), ''))"
     )
     both = (
-        marked.join(heads, "doc_id", "left")
+        dealt.join(heads, "doc_id", "left")
+        .unionByName(rows.filter("doc_id is null"), allowMissingColumns=True)
+        .withColumn("text", F.coalesce("text", F.lit("")))
         .withColumn("n_chars", F.length("text"))
         .withColumn("edited", text)
-        .select("doc_id", "n_chars", "edited", "fingerprint", "next")
     )
-    return with_fingerprint(both, "edited", "edited_fingerprint").select(
+    # All but the last of the words that stay are the edited text's as well, and so are the shingles within them.
+    stay = F.regexp_count(F.expr("substring(text, 1, n_chars - n_chars div 4)"), F.lit("[^" + SPACE[1:] + "+"))
+    both = (
+        both.withColumn("words", words_of(F.col("text")))
+        .withColumn("hashes", hashes_of(F.col("words")))
+        .withColumn("same", F.greatest(stay - SHINGLE, F.lit(0)))
+        .withColumn("other", words_of(F.col("edited")))
+        .withColumn("other", F.slice("other", F.col("same") + 1, F.greatest(F.size("other"), F.lit(1))))
+        .withColumn("changed", F.concat(F.slice("hashes", F.lit(1), F.col("same")), hashes_of(F.col("other"))))
+    )
+    done = binned(binned(both, "hashes", "fingerprint"), "changed", "edited_fingerprint")
+    return done.select(
         "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "edited", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         F.coalesce(likeness(F.col("fingerprint"), F.col("next")), F.lit(0.0)).alias("near_next"),
