@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.links import components, numbered_texts, stored
+from netsift.llm.links import components, numbered_texts, small_batches, stored
 from netsift.llm.text import mix, pieces, shingles, words
 
 SHINGLE = 5
@@ -132,7 +132,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
     chunk = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / CHUNK)).cast("int")
-    dealt = sized.select("a", "b", chunk.alias("chunk"))
+    # Stored, as both sides of the pairs are read from it.
+    dealt = stored(sized.select("a", "b", chunk.alias("chunk")), "dealt")
     visits = (
         dealt.select(F.col("b").alias("doc_id"), F.struct("a", "chunk", F.lit(1).alias("part")).alias("to"))
         .union(dealt.select("a", F.struct("a", "chunk", F.lit(0)).alias("to")).distinct())
@@ -186,7 +187,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"]
             )
 
-    rows = docs.join(visits, "doc_id").select("doc_id", "text", "to")
+    # Never broadcast: the visits grow with the links.
+    rows = docs.join(visits.hint("merge"), "doc_id").select("doc_id", "text", "to")
     sent = rows.mapInArrow(send, "a bigint, chunk int, part int, b bigint, hashes binary")
     ordered = sent.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "part")
     return ordered.mapInArrow(compare, "a bigint, b bigint")
@@ -196,12 +198,15 @@ def _alike(buckets: DataFrame) -> DataFrame:
     """Pairs of one bucket in different components whose sketches may reach the threshold.
 
     ``buckets`` holds key, block_a, block_b, side (0/1), doc_id, component,
-    n_shingles, sketch: every pair of blocks of a bucket is a group of its own.
+    n_shingles, bands, sketch: every pair of blocks of a bucket is a group of
+    its own. A pair is reported by the first bucket that both share.
     """
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         ids, comp, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        bands = np.array(table.column("bands").to_pylist())
+        key = table.column("key")[0].as_py()
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
         same = table.column("block_a")[0].as_py() == table.column("block_b")[0].as_py()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
@@ -212,13 +217,14 @@ def _alike(buckets: DataFrame) -> DataFrame:
             others = right[fits]
             if len(others):
                 close = others[estimate(sketch[i], sketch[others]) >= LEAST_ESTIMATE]
+                close = close[bands[i][np.argmax(bands[close] == bands[i], 1)] == key]
                 if len(close):
                     mine = np.full(len(close), ids[i])
                     pairs.append(np.stack([np.minimum(mine, ids[close]), np.maximum(mine, ids[close])], 1))
         all_ = np.concatenate(pairs)
         return pa.table({"a": all_[:, 0], "b": all_[:, 1]})
 
-    return buckets.groupBy("key", "block_a", "block_b").applyInArrow(run, "a bigint, b bigint").distinct()
+    return buckets.groupBy("key", "block_a", "block_b").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -229,6 +235,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     nothing. Rows that repeat an id are one document as to links and keep a row
     each. A null id links with nothing, its component_id is null and it is kept.
     """
+    small_batches(docs.sparkSession)
     rows = numbered_texts(docs, id_column, text_column)
     known = rows.filter("doc_id is not null")
     table = stored(signed(rows), "signed")
@@ -251,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .filter("low < high")
         .select("key", F.ceil(F.col("m") / CHUNK).cast("int").alias("blocks"))
     )
-    shown = reps.select("doc_id", "n_shingles", "sketch")
+    shown = reps.select("doc_id", "n_shingles", "bands", "sketch")
     block = F.pmod(F.xxhash64("doc_id", F.lit(7)), "blocks").cast("int")
     open_ = seen.join(split, "key").join(shown, "doc_id").withColumn("block", block)
     every = F.transform(
@@ -262,9 +269,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         ),
     )
     dealt = open_.withColumn("to", F.explode(every)).select(
-        "key", "to.block_a", "to.block_b", "to.side", "doc_id", "component", "n_shingles", "sketch"
+        "key", "to.block_a", "to.block_b", "to.side", "doc_id", "component", "n_shingles", "bands", "sketch"
     )
-    more = stored(_alike(dealt), "alike")
+    more = stored(_alike(dealt).distinct(), "alike")
     if not more.isEmpty():
         links = stored(links.union(confirmed(known, more)).distinct(), "confirmed")
         placed = components(links)
