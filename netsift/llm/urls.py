@@ -121,15 +121,18 @@ def judge(
     ``outcomes`` holds ``url`` and ``bad``. A rule's verdict wins; otherwise a
     host is blocked when its lower bound exceeds ``bad_rate``. Null urls and urls
     without ``://`` have an empty host and path and are allowed, as is every
-    host without labels whose prior stays below the limit. Repeated rows are
-    kept; columns of these names are replaced. A hot host is a skewed join key:
-    its rows are split by adaptive execution.
+    host without labels whose prior stays below the limit. Hosts that only
+    ``pages`` has are judged by the prior of their domain and suffix. Repeated
+    rows are kept; columns of these names are replaced. A hot host is a skewed
+    join key: its rows are split by adaptive execution.
     """
     host, path = host_and_path(F.col("url"))
-    known = reputation(outcomes.select(host.alias("host"), "bad"), settings).select(
+    labelled = outcomes.select(host.alias("host"), "bad")
+    host, path = host_and_path(F.col(url))
+    every = labelled.unionByName(pages.select(host.alias("host"), F.lit(None).cast("int").alias("bad")))
+    known = reputation(every, settings).select(
         F.col("host").alias("_host"), F.col("mean").alias("_mean"), F.col("lower").alias("_lower")
     )
-    host, path = host_and_path(F.col(url))
     rows = pages.withColumns({"host": host, "path": path})
     rows = rows.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     by_rule = F.lit(None).cast("string")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from netsift.llm import licenses, secrets, toxicity, urls, vectors
-from netsift.llm.queries import URL_RULES, held_out
+from netsift.llm.queries import QUERIES, URL_RULES, held_out
 
 
 def test_hosts_paths_and_rules(spark):
@@ -40,6 +40,28 @@ def test_reputation_shrinks_small_hosts(spark):
     assert got["mixed.two.org"]["bad_rate_lower"] < got["mixed.two.org"]["bad_rate"] < got["bad.one.org"]["bad_rate"] < 1
 
 
+def test_hosts_without_labels_take_the_prior_of_their_domain(spark):
+    rows = [(f"http://h{i % 8}.bad.org/{i}", 1) for i in range(240)] + [(f"http://h{i % 8}.good.org/{i}", 0) for i in range(240)]
+    outcomes = spark.createDataFrame(rows, "url string, bad int")
+    new = ["http://new.bad.org/", "http://new.bad.org/", "http://new.good.org/", "http://new.other.net/", None]
+    pages = spark.createDataFrame([(u,) for u in new], "page string")
+    got = urls.judge(pages, outcomes, {}, urls.Reputation(suffixes=()), url="page").collect()
+    assert sorted((r["host"], r["verdict"], r["bad_rate_lower"] is not None) for r in got) == [
+        ("", "allow", False), ("new.bad.org", "block", True), ("new.bad.org", "block", True),
+        ("new.good.org", "allow", True), ("new.other.net", "allow", True),
+    ]
+
+
+def test_reputation_query_judges_unlabelled_hosts(spark, tmp_path):
+    pages = [(i, f"http://h{i % 8}.bad.org/xx/{i}") for i in range(240)] + [(i, f"http://h{i % 8}.good.org/xx/{i}") for i in range(240, 480)]
+    pages += [(1000, "http://new.bad.org/xx/1000"), (1001, "http://new.bad.org/"), (1002, "http://new.good.org/xx/1002")]
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, int(i >= 240), 0) for i in range(480)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["page_id"]: r["verdict"] for r in QUERIES["op2_url_reputation"](spark, str(tmp_path)).collect()}
+    assert len(got) == 483 and [got[i] for i in (0, 300, 1000, 1001, 1002)] == ["block", "allow", "block", "block", "allow"]
+
+
 def test_reputation_of_no_pages(spark):
     empty = spark.createDataFrame([], "url string, bad int")
     assert urls.judge(empty, empty, URL_RULES).count() == 0
