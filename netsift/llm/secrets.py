@@ -1,6 +1,9 @@
 """Secrets in text: candidates by pattern, false positives removed by a random forest.
 
-Every run of at least ``SHORTEST`` characters that can make up a key is a
+Candidates are the known key formats, also inside a run of other characters;
+values of at least ``SHORTEST_VALUE`` characters of any kind that are assigned
+to a key word; and every other run of at least ``SHORTEST`` characters that can
+make up a key. Names, assignment signs and final punctuation are not part of a
 candidate. A forest decides by length, character classes and entropy, how likely
 its character transitions are in the corpus, how much of it frequent corpus
 words cover, whether it looks like a path or address, and the neighbouring
@@ -27,8 +30,7 @@ from pyspark.sql import functions as F
 from netsift.llm.links import small_batches
 from netsift.llm.text import NOT_WORD, pieces, words
 
-SHORTEST = 16
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-.@]{%d,}" % SHORTEST)
+SHORTEST, SHORTEST_VALUE = 16, 6
 CONTEXT = 32
 # Words that announce a secret, and key formats of common services.
 KEY_WORDS = re.compile(r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential)")
@@ -36,8 +38,25 @@ KNOWN = re.compile(
     r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
     r"|eyJ[\w-]+\.[\w-]+\.[\w-]+|AIza[\w-]{35}"
 )
-ASSIGNED = re.compile(r"(?i)(token|secret|passw\w*|pwd|api.?key|access.?key|auth\w*)[\"']?\s*[=:]\s*[\"']?$")
+_NAME = (
+    r"(?i:token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|credential)[\w.\-]{0,24}[\"'\]]{0,2}\s{0,4}"
+)
+NAMED = re.compile(_NAME + "$")
+ASSIGNED = re.compile(_NAME + r"[=:]{1,3}>?\s{0,4}[\"'`]?$")
 HEX_OR_KEY = re.compile(r"[0-9a-f]{24,}|(?=.*\d)(?=.*[A-Za-z])[A-Za-z0-9+/_=\-]{16,}")
+# Values that only stand for a secret: variables, markup, addresses and paths.
+_PLACEHOLDER = re.compile(r"\$\{.*|\$\(.*|\$[A-Z_]+|<.*>|\{\{.*|%\w+%|\w+://[^@]*|[\w.+\-]+@[\w\-]+\.[\w.]+|\.{0,2}/.*|~/.*|[\w.]+[(\[].*")
+_SIGNS = re.compile(r"[=:]+>?")
+_VALUE = re.compile(
+    r"\s{0,4}(?:\"([^\"\n]{%(n)d,})\"|'([^'\n]{%(n)d,})'|`([^`\n]{%(n)d,})`|[\"'`]?((?:(?!&[\w.\-]+=)[^\s\"'`,;]){%(n)d,}))"
+    % {"n": SHORTEST_VALUE}
+)
+_KNOWN_STARTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "eyJ", "AIza")
+_KNOWN_INSIDE = re.compile(r"(?<![A-Za-z0-9])(?!(?<=[_\-])eyJ)(?:%s)(?![A-Za-z0-9])" % KNOWN.pattern)
+_RUN = re.compile(r"[A-Za-z0-9+/_\-.@]{%d,}(?:={1,2}(?![A-Za-z0-9+/_\-.@=\"']))?" % SHORTEST)
+_ANY = re.compile("(?s).+")
+_CLOSING, _PUNCTUATION = ".,:?)]}>", ".,:?)]}>!#$*"
+NAME_CONTEXT = 64
 _CLASSES = 28
 _CLASS = np.full(256, 27, np.int64)
 for _b in range(128):
@@ -109,6 +128,54 @@ def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
     return Corpus(frozenset(map(spell, frequent["code"].tolist())), np.log(table / table.sum(1, keepdims=True)))
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Values assigned to a key word, quoted or up to the next gap, without final punctuation."""
+    done = 0
+    for sign in _SIGNS.finditer(text):
+        if sign.start() < done or sign.end() - sign.start() > 4:
+            continue
+        if not NAMED.search(text[max(0, sign.start() - NAME_CONTEXT) : sign.start()]):
+            continue
+        value = _VALUE.match(text, sign.end())
+        if not value:
+            continue
+        start, end = value.span(value.lastindex)
+        if value.lastindex == 4:
+            found = value[4]
+            bare = found.rstrip(_PUNCTUATION)
+            key = KNOWN.fullmatch(bare) or HEX_OR_KEY.fullmatch(bare)
+            end = start + len(bare if key else found.rstrip(_CLOSING))
+        if end - start >= SHORTEST_VALUE:
+            done = end
+            yield start, end
+
+
+class Candidates:
+    """The candidates of a text, in order and apart from each other; used like a compiled pattern."""
+
+    def finditer(self, text: str) -> Iterator[re.Match]:
+        values = list(_assigned(text))
+        known = [m.span() for m in _KNOWN_INSIDE.finditer(text)] if any(k in text for k in _KNOWN_STARTS) else []
+        spans: list[tuple[int, int]] = []
+        for start, end in sorted(values + known, key=lambda s: (s[0], -s[1])):
+            if spans and start < spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+            else:
+                spans.append((start, end))
+        at = 0
+        for start, end in [*spans, (len(text), len(text))]:
+            for m in _RUN.finditer(text, at, start):
+                stop = m.start() + len(m[0].rstrip("."))
+                if stop - m.start() >= SHORTEST:
+                    yield _ANY.match(text, m.start(), stop)
+            if start < end:
+                yield _ANY.match(text, start, end)
+            at = end
+
+
+CANDIDATE = Candidates()
+
+
 def coverage(word: str, known: frozenset[str]) -> float:
     """Share of characters that frequent words cover, taking the longest at each place."""
     word = word.lower()
@@ -135,17 +202,26 @@ def features(text: str, start: int, end: int, known: Corpus) -> list[float]:
         float(n), digits / n, upper / n, (n - digits - upper - symbols) / n, symbols / n, float(-(p * np.log2(p)).sum()),
         sum(a != b for a, b in zip(groups, groups[1:])) / n, float(known.transitions[kinds[:-1], kinds[1:]].mean()),
         coverage(found, known.words), float(found.count("/")), float(found.count(".")), float("@" in found),
-        float(bool(KEY_WORDS.search(before))), float(bool(re.search(r"[=:]\s*[\"']?$", before))),
+        float(bool(KEY_WORDS.search(before))), float(bool(re.search(r"[=:]>?\s*[\"'`]?$", before))),
         float(before[-1:] in "\"'" and after in "\"'" and bool(after)), float(bool(re.fullmatch("[0-9a-fA-F]+", found))),
     ]
 
 
 def ruled(text: str, start: int, end: int) -> int:
-    """Label of a finding by strict rules: a known key format, or a key-like value assigned to a key word."""
+    """Label of a finding by strict rules: a known key format, or a key-like value assigned to a key word.
+
+    A value is also key-like, at any length, if it mixes letters with digits or signs and is no placeholder.
+    """
     found = text[start:end]
-    if KNOWN.fullmatch(found):
+    if KNOWN.fullmatch(found) or _KNOWN_INSIDE.search(found):
+        return 1
+    if not ASSIGNED.search(text[max(0, start - NAME_CONTEXT) : start]):
+        return 0
+    if HEX_OR_KEY.fullmatch(found):
         return 1
-    return int(bool(ASSIGNED.search(text[max(0, start - CONTEXT) : start]) and HEX_OR_KEY.fullmatch(found)))
+    if " " in found or _PLACEHOLDER.fullmatch(found):
+        return 0
+    return int(bool(re.search("[A-Za-z]", found) and re.search(r"[0-9!@#$%^&*+~?]", found)))
 
 
 def findings(docs: DataFrame, known: Corpus, settings: Forest = Forest()) -> DataFrame:

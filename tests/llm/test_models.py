@@ -155,6 +155,71 @@ def test_secrets_on_unseen_documents(spark, leaks):
     assert total > 300 and right / total >= 0.99, wrong[:5]
 
 
+HEX, GITHUB, AWS = "0123456789abcdef0123456789abcdef", "ghp_" + "aB3" * 12, "AKIA" + "Q7" * 8
+
+
+@pytest.mark.parametrize(
+    ("text", "secret"),
+    [
+        (f"api_key={HEX}", HEX), (f"TOKEN={GITHUB}", GITHUB), (f"key={AWS}", AWS), (f"see {AWS}.", AWS),
+        (f"secret:{HEX}, then", HEX), (f"id=5&token={HEX}&x=1", HEX), (f"x_{AWS}_y", AWS), (f"url?a={GITHUB}&b=c", GITHUB),
+        ("password=hunter2", "hunter2"), ("DB_PASSWORD = 'p$s#w:rd!9'", "p$s#w:rd!9"), ('"pwd": "a b!c$1"', "a b!c$1"),
+        ("the_long_name_of_a_service_password=Tr0ub4dor!", "Tr0ub4dor!"), (f'token = "{HEX}"!!', HEX), (f"token={HEX}!!", HEX),
+        ("secret=QWxhZGRpbjpvcGVuIHNlc2FtZQ==", "QWxhZGRpbjpvcGVuIHNlc2FtZQ=="),
+    ],
+)
+def test_secret_is_a_candidate_of_its_own(text, secret):
+    spans = [(m.start(), m.end()) for m in secrets.CANDIDATE.finditer(text)]
+    at = text.index(secret)
+    assert (at, at + len(secret)) in spans
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert secrets.ruled(text, at, at + len(secret)) == (" " not in secret)
+
+
+@pytest.mark.parametrize("text", ["password: required", "token=${TOKEN}", "auth: user@example.com", "pwd=/home/user1", "Author: Elizabeth"])
+def test_placeholders_are_not_labelled(text):
+    assert not any(secrets.ruled(text, m.start(), m.end()) for m in secrets.CANDIDATE.finditer(text))
+
+
+def test_planted_secrets_of_all_forms(spark):
+    rng = random.Random(12)
+
+    def draw(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    def word():
+        return "".join(rng.choice(["er", "on", "th", "tion", "nd", "ing", "ea"]) for _ in range(rng.randrange(1, 11)))
+
+    upper, alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    forms = [
+        lambda: ("api_key=", draw("0123456789abcdef", 32), ""), lambda: ("TOKEN=", "ghp_" + draw(alnum, 36), ""),
+        lambda: ("key=", "AKIA" + draw(upper, 16), ""), lambda: ("", "AKIA" + draw(upper, 16), "."),
+        lambda: ("secret:", draw(alnum, 24) + "7a", ","), lambda: ("password=", draw(alnum, 4) + "!" + draw("23456789", 2) + draw("$#!", 1) + "x", ""),
+        lambda: ("pwd='", draw(alnum, 5) + "$:" + draw("0123456789", 2), "'"), lambda: ("db_password = \"", draw(alnum, 7) + "4q", '"'),
+    ]
+    rows, planted = [], {}
+    for i in range(1200):
+        w = [word() for _ in range(40)]
+        if i % 3 == 0:
+            w[10] = f"name.{i}@mail{i % 9}.example.com /usr/share/lib/{word()}/data.bin {rng.randrange(10**15, 10**16)}"
+        if i % 4 == 0:
+            w[15] = rng.choice(["token: ", "author=", "password: ", "credentials="]) + rng.choice(["required", "nothing", "ingtion", "thereon"])
+        text = " ".join(w)
+        if i % 2 == 0:
+            before, value, after = forms[i // 2 % len(forms)]()
+            text = f"{text} {before}"
+            planted[i] = (len(text), len(text) + len(value))
+            text += value + after + " " + word()
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = secrets.fitted(docs.filter("doc_id % 5 < 3"))
+    got = {r["doc_id"]: {(f["start"], f["end"]) for f in r["findings"] if f["secret"]} for r in secrets.scan(docs.filter("doc_id % 5 >= 3"), *model).collect()}
+    hit = sum(planted[i] in got[i] for i in got if i in planted)
+    false = sum(len(got[i] - {planted.get(i)}) for i in got)
+    there = sum(i in planted for i in got)
+    assert there > 200 and hit >= 0.98 * there and false <= 0.02 * there, (there, hit, false)
+
+
 def test_secrets_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     model = secrets.fitted(empty)
