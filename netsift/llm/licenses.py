@@ -56,6 +56,89 @@ def size_bounds(m: int, threshold: float) -> tuple[int, int]:
     return min(sizes), max(sizes)
 
 
+def _needed(grams: list[str], threshold: float) -> list[str]:
+    """Bigrams of which every passage that reaches ``threshold`` has one; the longest, as these are rare.
+
+    Passages of n bigrams share at least ``threshold * (m + n) / 2`` and at most n, so ``m * t / (2 - t)`` of m.
+    """
+    least = size_bounds(len(grams), threshold)[0]
+    return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - least + 1]
+
+
+def notices(
+    docs: DataFrame,
+    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    threshold: float = THRESHOLD,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Notices within a line or over several lines, in the columns of :func:`scan`; ``line`` is where one starts.
+
+    The units are all passages of up to as many bigrams, repeated ones counted, as can reach the threshold; of
+    passages that overlap the best counts, on a tie the earlier template, then the earlier passage. The best passages
+    start and end with bigrams of their template, so only these are compared.
+    """
+    known = [bigrams(normal_words(text)) for _, text in templates]
+    bounds = [size_bounds(len(k), threshold) for k in known]
+    # A bigram and the gaps around it, so that the texts without any chance are dropped by plain searches.
+    needed = dict.fromkeys(f" {g} " for k in known for g in _needed(k, threshold))
+    any_needed = F.lit(False)
+    for g in needed:
+        any_needed = any_needed | F.contains("flat", F.lit(g))
+    folded = F.translate(docs[text_column].cast("string"), _UPPER, _UPPER.lower())
+    flat = F.concat(F.lit(" "), F.regexp_replace(folded, "[^a-z0-9]+", " "), F.lit(" "))
+    likely = (
+        docs.select(docs[id_column].cast("bigint").alias("doc_id"), folded.alias("folded"), F.explode(F.array(flat)).alias("flat"))
+        .filter(any_needed)
+        .select("doc_id", "folded")
+    )
+    tokens = F.expr(
+        r"flatten(transform(split(folded, '\n'), (l, i) -> transform(filter("
+        r"split(regexp_replace(l, '[^a-z0-9]+', ' '), ' '), w -> w <> ''), w -> struct(w, i AS line))))"
+    )
+    pairs = F.expr(
+        "transform(sequence(0, size(tokens) - 2), k -> struct("
+        "concat(get(tokens, k).w, ' ', get(tokens, k + 1).w) AS g, k AS at, get(tokens, k).line AS line))"
+    )
+    every = F.array(*[F.lit(b) for b in dict.fromkeys(b for k in known for b in k)])
+    forms = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.array(*map(F.lit, k)).alias("grams"), F.lit(b[0]).alias("least"), F.lit(b[1]).alias("most"))
+        for n, (k, b) in enumerate(zip(known, bounds))
+    ])
+    hit = (
+        likely.select("doc_id", F.explode(F.array(tokens)).alias("tokens"))
+        .filter("size(tokens) > 1")
+        .select("doc_id", F.explode(F.array(pairs)).alias("pairs"))
+        .withColumn("every", every)
+        .select("doc_id", "pairs", F.explode(F.expr("array(filter(pairs, p -> array_contains(every, p.g)))")).alias("hits"))
+        .withColumn("forms", forms)
+        .select("doc_id", "pairs", F.explode(F.expr(
+            "array(filter(transform(forms, f -> struct(f, filter(hits, h -> array_contains(f.grams, h.g)) AS hits)),"
+            " x -> size(x.hits) >= x.f.least))"
+        )).alias("close"))
+    )
+    # For each template and each of its bigrams in the text, all passages that start there and are close enough.
+    measured = """
+      transform(filter(slice(x.hits, i + 1, x.f.most), e -> e.at - h.at < x.f.most AND e.at - h.at + 1 >= x.f.least),
+        e -> transform(array(array_distinct(transform(slice(pairs, h.at + 1, e.at - h.at + 1), p -> p.g))), d ->
+          struct(2.0D * size(array_intersect(d, x.f.grams)) / (size(d) + size(x.f.grams)) AS dice, -x.f.n AS rank,
+            -h.at AS first, -e.at AS last, h.line AS line, size(array_intersect(d, x.f.grams)) AS shared, size(d) AS bigrams))[0])"""
+    passages = f"flatten(transform(close, x -> flatten(transform(x.hits, (h, i) -> filter({measured}, b -> b.dice >= {threshold}D)))))"
+    found = hit.filter("size(close) > 0").select("doc_id", F.explode(F.expr(
+        f"array(reverse(array_sort({passages})))"
+    )).alias("found")).filter("size(found) > 0")
+    kept = F.expr(
+        "aggregate(found, slice(found, 1, 0), (kept, b) -> if(exists(kept, o -> -o.first <= -b.last + 1 AND -b.first <= -o.last + 1),"
+        " kept, concat(kept, array(b))))"
+    )
+    names = F.array(*[F.lit(name) for name, _ in templates])
+    return found.select("doc_id", F.explode(kept).alias("best")).select(
+        "doc_id", F.col("best.line").alias("line"), F.element_at(names, 1 - F.col("best.rank")).alias("license"),
+        (-F.col("best.rank")).alias("template"), F.col("best.shared").alias("shared"), F.col("best.bigrams").alias("bigrams"),
+        F.col("best.dice").alias("dice"),
+    )
+
+
 def scan(
     docs: DataFrame,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,

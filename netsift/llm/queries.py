@@ -80,8 +80,8 @@ def op5_fingerprints(spark, folder):
 
 @query
 def op9_licenses(spark, folder):
-    """Licence notices in all lines of all documents."""
-    return licenses.scan(table(spark, folder, "documents"))
+    """Licence notices in all documents, within lines and over several lines."""
+    return licenses.notices(table(spark, folder, "documents"))
 
 
 ORACLE["op9_licenses"] = licenses.scan_sql()

@@ -257,6 +257,48 @@ def test_licences_equal_plain_version(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def plain_notices(text):
+    """Best passages of all lengths by brute force, one after the other without overlap."""
+    words = [(w, n) for n, line in enumerate(text.split("\n")) for w in licenses.normal_words(line)]
+    pairs = [f"{a[0]} {b[0]}" for a, b in zip(words, words[1:])]
+    found = []
+    for k, (_, template) in enumerate(licenses.TEMPLATES):
+        grams = set(licenses.bigrams(licenses.normal_words(template)))
+        most = licenses.size_bounds(len(grams), licenses.THRESHOLD)[1]
+        for i in range(len(pairs)):
+            for j in range(i, min(i + most, len(pairs))):
+                mine = set(pairs[i : j + 1])
+                dice = 2 * len(mine & grams) / (len(mine) + len(grams))
+                if dice >= licenses.THRESHOLD:
+                    found.append((-dice, k, i, j))
+    kept = []
+    for d, k, i, j in sorted(found):
+        if not any(a <= j + 1 and i <= b + 1 for _, _, a, b in kept):
+            kept.append((d, k, i, j))
+    return [(words[i][1], k, -d) for d, k, i, j in kept]
+
+
+def test_notices_within_and_over_lines(spark):
+    texts = [t for _, t in licenses.TEMPLATES]
+    rng = random.Random(8)
+    rows = [
+        "Copyright 2020 Foo. All rights reserved.", "Released under the MIT License by Foo Inc.",
+        "x\n" + texts[14].replace("of charge, to", "of charge,\nto").replace("and associated", "and\n# associated") + ", including",
+        texts[2].replace("source and", "source\n * and").replace("permitted", "permitted\n *"), "", "All", "word " * 300,
+    ]
+    for _ in range(40):
+        w = ["lorem"] * rng.randrange(6)
+        for t in rng.sample(texts, 2):
+            w += [x if rng.random() > 0.06 else "the" for x in t.split()] + ["ipsum", "dolor"] * rng.randrange(3)
+        rows.append("".join(x + rng.choice("     \n") for x in w))
+    docs = spark.createDataFrame([*enumerate(rows), (900, None), (None, rows[0])], "doc_id bigint, text string")
+    got = sorted((str(r["doc_id"]), r["line"], r["template"], r["dice"]) for r in licenses.notices(docs).collect())
+    plain = sorted((str(i), *f) for i, t in [*enumerate(rows), (None, rows[0])] for f in plain_notices(t))
+    assert got == plain, set(got) ^ set(plain)
+    for i, (line, name) in enumerate([(0, "proprietary"), (0, "MIT"), (1, "MIT"), (0, "BSD-3-Clause")]):
+        assert (line, name) in {(g[1], licenses.TEMPLATES[g[2]][0]) for g in got if g[0] == str(i)}
+
+
 def plain_links(rows, threshold=0.95):
     good = {}
     for i, v in rows:
