@@ -191,12 +191,24 @@ def refresh_rollups(spark, folder):
     return result
 
 
+#: Sections of the stored dashboard whose figures depend on how the stream cut its batches.
+BY_BATCH = ("latest", "traffic_timeline", "mean")
+
+
 @query
 def dashboard_stored(spark, folder):
-    """The dashboard as served in a deployment: from rollups and stored statistics."""
+    """The dashboard as served in a deployment, without the sections of :func:`dashboard_stored_traffic`."""
+    root = detected(spark, folder)
+    stream.refresh_rollups(spark, root)
+    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(~F.col("section").isin(*BY_BATCH))
+
+
+@query
+def dashboard_stored_traffic(spark, folder):
+    """The dashboard's other sections, which follow the stream's batches and so have no SQL twin."""
     root = detected(spark, folder)
     stream.refresh_rollups(spark, root)
-    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(~F.col("section").isin("latest", "traffic_timeline", "mean"))
+    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(F.col("section").isin(*BY_BATCH))
 
 
 @query

@@ -295,3 +295,23 @@ def test_saving_replaces_a_model(spark, flows, tmp_path):
         forest.save_model(model, f"{tmp_path}/m")
     loaded = forest.PipelineModel.load(f"{tmp_path}/m")
     assert forest.score(clean_all(flows), loaded).filter("prediction = 1").count() > 300
+
+
+def test_stored_dashboard_has_the_sections_by_batch(spark, folder):
+    from netsift.plans import jobs
+
+    batches = {}
+    for r in read_table(spark, f"{jobs.detected(spark, folder)}/alerts").select("batch_id", "timestamp", "prediction").collect():
+        batches.setdefault(r["batch_id"], []).append((r["timestamp"], r["prediction"]))
+    rows = [
+        (max(t for t, _ in b), i, len(b), 100 * sum(p == 0 for _, p in b) / len(b), 100 * sum(p == 1 for _, p in b) / len(b))
+        for i, b in batches.items()
+    ]
+    newest = max(rows)
+    day = [r for r in rows if r[0] >= newest[0] - datetime.timedelta(days=1)]
+    expected = {("latest", n, newest[0]): v for n, v in zip(("total_packets", "normal_percentage", "attack_percentage"), newest[2:])}
+    expected |= {("traffic_timeline", str(r[1]), r[0]): r[4] for r in day}
+    expected |= {("mean", "avg_attack_percentage_24h", None): sum(r[4] for r in day) / len(day)}
+    got = jobs.dashboard_stored_traffic(spark, folder).collect()
+    assert len(got) == len(expected)
+    assert {(r["section"], r["name"], r["at"]): r["value"] for r in got} == pytest.approx(expected)
