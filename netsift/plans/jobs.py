@@ -114,7 +114,7 @@ def fanout(spark, folder):
 
 @query
 def fanout_totals(spark, folder):
-    """Rows of all batches in the statistics, metrics and summary tables."""
+    """Rows of all batches in the statistics table."""
     stats = stream_table("traffic_stats")(spark, folder)
     return stats.agg(
         F.sum("total_packets").alias("total_packets"), F.sum("normal_count").alias("normal_count"),
@@ -122,6 +122,20 @@ def fanout_totals(spark, folder):
     )
 
 
+@query
+def fanout_metrics_totals(spark, folder):
+    """Samples and confusion counts of all batches in the metrics table."""
+    names = ("total_samples", "true_positives", "true_negatives", "false_positives", "false_negatives")
+    return stream_table("model_metrics")(spark, folder).agg(*[F.sum(n).alias(n) for n in names])
+
+
+@query
+def fanout_summary_totals(spark, folder):
+    """Rows and newest moment by attack type over all batches in the summary table."""
+    rows = stream_table("attack_summary")(spark, folder)
+    return rows.groupBy("attack_type").agg(F.sum("count").alias("count"), F.max("last_seen").alias("last_seen"))
+
+
 @query
 def geo_feed(spark, folder):
     """Everything that a client gets that polls from the first batch on."""

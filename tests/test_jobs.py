@@ -315,3 +315,17 @@ def test_stored_dashboard_has_the_sections_by_batch(spark, folder):
     got = jobs.dashboard_stored_traffic(spark, folder).collect()
     assert len(got) == len(expected)
     assert {(r["section"], r["name"], r["at"]): r["value"] for r in got} == pytest.approx(expected)
+
+
+def test_totals_of_metrics_and_summary(spark, folder):
+    from netsift.plans import jobs
+
+    rows = read_table(spark, f"{jobs.detected(spark, folder)}/alerts").select("attack_type", "timestamp", "prediction", "true_label").collect()
+    cells = [sum((r["prediction"], r["true_label"]) == c for r in rows) for c in ((1.0, 1.0), (0.0, 0.0), (1.0, 0.0), (0.0, 1.0))]
+    assert list(jobs.fanout_metrics_totals(spark, folder).first()) == [len(rows), *cells]
+    seen = {}
+    for r in rows:
+        seen.setdefault(r["attack_type"], []).append(r["timestamp"])
+    got = {r["attack_type"]: (r["count"], r["last_seen"]) for r in jobs.fanout_summary_totals(spark, folder).collect()}
+    assert got and got == {k: (len(v), max(v)) for k, v in seen.items() if k in got}
+    assert {k for k in seen if k not in got} <= {"BENIGN"}
