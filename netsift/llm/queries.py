@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from netsift.llm import fingerprints, licenses, neardup, packing, secrets, substrings, subwords, toxicity, urls, vectors
+from netsift.llm import (
+    fingerprints, licenses, neardup, packing, periodic, secrets, substrings, subwords, toxicity, urls, vectors,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,6 +131,41 @@ def op10_sentencepiece(spark, folder):
     )
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; where the checksum h of the id ends in 0, the words repeat from some word on.
+
+    With g = h div 10, word i >= a becomes word a + (i - a) % p, for a = g % n and p = 1 + (n - a) div (3 + g % 8).
+    """
+    found = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    found = found.withColumn("w", F.when(F.col("h") % 10 == 0, w)).withColumns(
+        {"g": F.expr("h div 10"), "n": F.size("w").cast("bigint")}
+    )
+    found = found.withColumn("a", F.expr("g % nullif(n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(w, (x, i) -> IF(i < a, x, get(w, int(a + (i - a) % p)))), ' ')")
+    return found.select("doc_id", F.when(F.size("w") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    """Runs of all documents, and their words without the repeats."""
+    found = periodic.periodic_runs(looped(table(spark, folder, "documents")))
+    # Fractions are compared by cross products, so that the comparison is exact; of equal ones the first run stays.
+    better = "r.length * coalesce(best.period, 1) > coalesce(best.length, 0) * r.period"
+    best = F.expr(
+        "aggregate(runs, cast(null AS struct<start: bigint, length: bigint, period: bigint>), "
+        f"(best, r) -> IF(best IS NULL OR {better}, r, best))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 # SQL twins. Words are cut as in the operators; the separators are space and 0x09 to 0x0D.
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]'), lambda w: w <> '')"
@@ -163,6 +200,46 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIG
   sha256(coalesce(k.content, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
 
+ORACLE["op11_periodic_runs"] = f"""
+WITH crc AS (SELECT *, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)), lambda x, k: xor(x // 2, 3988292384 * (x % 2)))
+  ), 4294967295) AS h FROM documents),
+cut AS (SELECT doc_id, h, h // 10 AS g, {_WORDS} AS w FROM crc),
+shaped AS (SELECT *, len(w)::BIGINT AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM cut),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM shaped),
+words AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+  list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM periods),
+each AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM words),
+equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM each x JOIN each y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+  WHERE 3 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM islands GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, s, len, min(q) AS q FROM stretches WHERE len >= greatest(24, 3 * q) GROUP BY doc_id, s, len
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(format('{{}},{{}},{{}}' || chr(10), s, len, q), '' ORDER BY s, q) AS content
+  FROM runs GROUP BY doc_id
+),
+best AS (
+  SELECT doc_id, s, len, q FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND (o.len * r.q > r.len * o.q
+      OR (o.len * r.q = r.len * o.q AND (o.s < r.s OR (o.s = r.s AND o.q < r.q))))
+  )
+),
+kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS content FROM each e
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = e.doc_id AND e.i >= r.s + r.q AND e.i < r.s + r.len) GROUP BY e.doc_id
+)
+SELECT d.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.len::BIGINT AS length, b.q::BIGINT AS period,
+  (1000 * b.len // b.q)::BIGINT AS exponent_milli, sha256(coalesce(l.content, '')) AS runs_sha256,
+  sha256(coalesce(k.content, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id
+LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
 ORACLE["op8_near_duplicates"] = f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"coalesce({_FOLD}, '')")} AS w FROM documents),
 starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0),
