@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from netsift.llm import (
-    fingerprints, licenses, neardup, packing, periodic, secrets, substrings, subwords, toxicity, urls, vectors,
+    fingerprints, lexical, licenses, neardup, packing, periodic, secrets, substrings, subwords, toxicity, urls, vectors,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +166,12 @@ def op11_periodic_runs(spark, folder):
     )
 
 
+@query
+def op12_ranked_search(spark, folder):
+    """The 50 best documents of all benchmark items."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 # SQL twins. Words are cut as in the operators; the separators are space and 0x09 to 0x0D.
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]'), lambda w: w <> '')"
@@ -240,6 +246,27 @@ SELECT d.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start,
 FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id
 LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 
+_TERMS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+ORACLE["op12_ranked_search"] = f"""
+WITH each AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM each GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id),
+whole AS (SELECT count(*) AS documents, sum(n)::BIGINT AS total FROM lengths),
+norms AS (SELECT doc_id, 100 - 50 + ((50 * n * documents) // total) AS m FROM lengths, whole),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, whole GROUP BY term
+),
+scores AS (
+  SELECT a.item_id, c.doc_id, sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * m.m)))::BIGINT AS score
+  FROM asked a JOIN counted c ON c.term = a.term JOIN weights w ON w.term = a.term JOIN norms m ON m.doc_id = c.doc_id
+  GROUP BY a.item_id, c.doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
 ORACLE["op8_near_duplicates"] = f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"coalesce({_FOLD}, '')")} AS w FROM documents),
 starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0),
