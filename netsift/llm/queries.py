@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from netsift.llm import (
-    fingerprints, lexical, licenses, neardup, packing, periodic, secrets, substrings, subwords, toxicity, urls, vectors,
+    fingerprints, htmltext, lexical, licenses, neardup, packing, periodic, secrets, substrings, subwords, toxicity, urls,
+    vectors,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,6 +173,13 @@ def op12_ranked_search(spark, folder):
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op13_main_text(spark, folder):
+    """Main text of all pages, with a classifier trained on pages of the same table."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages, htmltext.fit(pages))
+
+
 # SQL twins. Words are cut as in the operators; the separators are space and 0x09 to 0x0D.
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]'), lambda w: w <> '')"
