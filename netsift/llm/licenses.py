@@ -1,18 +1,19 @@
 """Licence notices found by Dice coefficient over word bigrams.
 
-Every line is normalised (A-Z lower-cased, all but a-z and 0-9 taken as gaps)
-and compared with templates by ``2 * shared / (bigrams of line + of template)``.
-A line can only reach the threshold t with a template of m bigrams if its own
-number lies between m * t / (2 - t) and m * (2 - t) / t, so most templates are
-dropped by a comparison of two numbers, and most lines by the smallest and
-largest of these bounds. DataFrame functions only; nothing is shuffled.
+Texts are normalised (A-Z lower-cased, all but a-z and 0-9 taken as gaps), and
+their passages are compared with templates by ``2 * shared / (bigrams of the
+passage + of the template)``. A passage can only reach the threshold t with a
+template of m bigrams if its own number lies between m * t / (2 - t) and
+m * (2 - t) / t. So most texts are dropped as they hold too few bigrams of any
+template, and passages outside these bounds are never compared. DataFrame
+functions only; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.75
@@ -72,11 +73,16 @@ def notices(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Notices within a line or over several lines, in the columns of :func:`scan`; ``line`` is where one starts.
+    """Notices within a line or over several lines: doc_id, line (from 0, where one starts), license, template, shared, bigrams, dice.
 
     The units are all passages of up to as many bigrams, repeated ones counted, as can reach the threshold; of
     passages that overlap the best counts, on a tie the earlier template, then the earlier passage. The best passages
     start and end with bigrams of their template, so only these are compared.
+
+    Null and empty texts and texts of one word have no notices. Repeated rows are
+    reported each for itself, a null id stays null, other columns of any name are
+    ignored; an empty table gives an empty result. Whole texts are searched; the
+    work grows with the square of the notices within one document.
     """
     known = [bigrams(normal_words(text)) for _, text in templates]
     bounds = [size_bounds(len(k), threshold) for k in known]
@@ -139,102 +145,58 @@ def notices(
     )
 
 
-def scan(
-    docs: DataFrame,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
-    threshold: float = THRESHOLD,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """One row per line that is close to a template: doc_id, line (from 0), license, template, shared, bigrams, dice.
-
-    The best template counts, on a tie the earlier one. Null and empty texts and
-    lines of fewer than two words match nothing. Repeated rows are reported
-    each for itself, a null id stays null, other columns are ignored.
-    """
-    known = [bigrams(normal_words(text)) for _, text in templates]
-    bounds = [size_bounds(len(k), threshold) for k in known]
-    low, high = min(b[0] for b in bounds), max(b[1] for b in bounds)
-    lines = docs.select(
-        docs[id_column].cast("bigint").alias("doc_id"),
-        F.posexplode(F.split(docs[text_column].cast("string"), "\n")).alias("line", "content"),
-    )
-    # Each word of a bigram needs a letter and a gap, so short lines need no work. The explodes of one-element
-    # arrays keep what they hold from being computed again in every filter and for every array element.
-    words = F.split(F.trim(F.regexp_replace(F.translate("content", _UPPER, _UPPER.lower()), "[^a-z0-9]+", " ")), " ")
-    worded = (
-        lines.filter(F.octet_length("content") > 2 * low)
-        .select("doc_id", "line", F.explode(F.array(words)).alias("words"))
-        .filter(F.size("words") > low)
-    )
-    pairs = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.size("words") - 1),
-            lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i)),
-        )
-    )
-    every = F.array(*[F.lit(b) for b in dict.fromkeys(b for k in known for b in k)])
-    sized = (
-        worded.select("doc_id", "line", F.explode(F.array(pairs)).alias("pairs"))
-        .filter(F.size("pairs").between(low, high))
-        .filter(F.arrays_overlap("pairs", every))
-    )
-
-    def match(number: int) -> Column:
-        (least, most), grams = bounds[number], known[number]
-        shared = F.size(F.array_intersect("pairs", F.array(*map(F.lit, grams))))
-        found = F.struct(
-            (2.0 * shared / (F.size("pairs") + len(grams))).alias("dice"), F.lit(-number).alias("rank"),
-            shared.alias("shared"),
-        )
-        return F.when(F.size("pairs").between(least, most), found)
-
-    best = F.array_max(F.array(*[match(n) for n in range(len(templates))]))
-    names = F.array(*[F.lit(name) for name, _ in templates])
-    return (
-        sized.select("doc_id", "line", F.size("pairs").alias("bigrams"), F.explode(F.array(best)).alias("best"))
-        .filter(F.col("best.dice") >= threshold)
-        .select(
-            "doc_id", "line", F.element_at(names, 1 - F.col("best.rank")).alias("license"),
-            (-F.col("best.rank")).alias("template"), F.col("best.shared").alias("shared"), "bigrams",
-            F.col("best.dice").alias("dice"),
-        )
-    )
-
-
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def scan_sql(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The scan over ``documents`` as DuckDB SQL, without any pruning."""
+def notices_sql(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> str:
+    """The notices in ``documents`` as DuckDB SQL: all passages that start and end with bigrams of a template."""
     values = ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(templates))
 
-    def pairs(words: str) -> str:
-        return (
-            f"list_distinct(list_transform(range(1, len({words})::BIGINT),"
-            f" lambda i: {words}[i] || ' ' || {words}[i + 1]))"
-        )
-
     def words(text: str) -> str:
         folded = f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
         return f"list_filter(string_split(regexp_replace({folded}, '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
 
+    def pairs(words: str) -> str:
+        return f"list_transform(range(1, len({words})::BIGINT), lambda i: {words}[i] || ' ' || {words}[i + 1])"
+
     return f"""
 WITH templates AS (SELECT n, name, {words('content')} AS w FROM (VALUES {values}) AS v(n, name, content)),
-known AS (SELECT n, name, {pairs('w')} AS grams FROM templates),
-split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
-lines AS (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS content FROM split),
-worded AS (SELECT doc_id, line, {words('content')} AS w FROM lines),
-paired AS (SELECT doc_id, line, {pairs('w')} AS grams FROM worded WHERE len(w) > 1),
-matched AS (
-  SELECT p.doc_id, p.line, k.name, k.n, len(p.grams) AS bigrams,
-    len(list_intersect(p.grams, k.grams)) AS shared,
-    2.0::DOUBLE * len(list_intersect(p.grams, k.grams)) / (len(p.grams) + len(k.grams)) AS dice
-  FROM paired p JOIN known k ON list_has_any(p.grams, k.grams)
+known AS (
+  SELECT *, floor(len(grams) * (2 - {threshold}) / {threshold})::BIGINT AS most FROM (
+    SELECT n, name, list_distinct({pairs('w')}) AS grams FROM templates)
+),
+split AS (SELECT row_number() OVER () AS doc, doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+cut AS (SELECT doc, doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS content FROM split),
+lines AS (SELECT doc, doc_id, line, {words('content')} AS w FROM cut),
+texts AS (
+  SELECT doc, any_value(doc_id) AS doc_id, flatten(list(w ORDER BY line)) AS w,
+    flatten(list(list_transform(w, lambda x: line) ORDER BY line)) AS line
+  FROM lines GROUP BY doc
+),
+paired AS (SELECT doc, doc_id, line, {pairs('w')} AS grams FROM texts WHERE len(w) > 1),
+each AS (SELECT doc, unnest(grams) AS gram, unnest(range(len(grams))) AS spot FROM paired),
+hits AS (SELECT e.doc, e.spot, k.n FROM each e JOIN (SELECT n, unnest(grams) AS gram FROM known) k ON k.gram = e.gram),
+spans AS (
+  SELECT a.doc, a.n, a.spot AS head, b.spot AS tail FROM hits a JOIN hits b ON a.doc = b.doc AND a.n = b.n
+  JOIN known k ON k.n = a.n WHERE b.spot >= a.spot AND b.spot - a.spot < k.most
+),
+measured AS (
+  SELECT s.*, k.grams AS known, list_distinct(p.grams[s.head + 1:s.tail + 1]) AS d FROM spans s
+  JOIN known k ON k.n = s.n JOIN paired p ON p.doc = s.doc
+),
+close AS (
+  SELECT doc, n, head, tail, len(d) AS bigrams, len(list_intersect(d, known)) AS shared,
+    2.0::DOUBLE * len(list_intersect(d, known)) / (len(d) + len(known)) AS dice FROM measured
+),
+ordered AS (
+  SELECT doc, list([{{'head': head, 'tail': tail, 'n': n, 'shared': shared, 'bigrams': bigrams, 'dice': dice}}]
+    ORDER BY dice DESC, n, head, tail) AS found
+  FROM close WHERE dice >= {threshold} GROUP BY doc
 ),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, n) AS place FROM matched
-  WHERE dice >= {threshold}
+kept AS (
+  SELECT doc, unnest(list_reduce(found, lambda kept, b: CASE WHEN len(list_filter(kept,
+    lambda o: o.head <= b[1].tail + 1 AND b[1].head <= o.tail + 1)) > 0 THEN kept ELSE list_concat(kept, b) END)) AS best FROM ordered
 )
-SELECT doc_id, line::INTEGER AS line, name AS license, n::INTEGER AS template, shared::INTEGER AS shared,
-  bigrams::INTEGER AS bigrams, dice FROM ranked WHERE place = 1"""
+SELECT p.doc_id, p.line[k.best.head + 1]::INTEGER AS line, t.name AS license, k.best.n::INTEGER AS template,
+  k.best.shared::INTEGER AS shared, k.best.bigrams::INTEGER AS bigrams, k.best.dice AS dice
+FROM kept k JOIN paired p ON p.doc = k.doc JOIN templates t ON t.n = k.best.n"""

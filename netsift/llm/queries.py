@@ -87,7 +87,7 @@ def op9_licenses(spark, folder):
     return licenses.notices(table(spark, folder, "documents"))
 
 
-ORACLE["op9_licenses"] = licenses.scan_sql()
+ORACLE["op9_licenses"] = licenses.notices_sql()
 
 
 @query
@@ -330,7 +330,7 @@ placed AS (SELECT page_id, url,
   translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
 outcome AS (SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-judged AS (SELECT p.host, o.bad FROM placed p JOIN outcome o
+judged AS (SELECT p.host, o.bad FROM placed p LEFT JOIN outcome o
   ON o.doc_id = TRY_CAST(regexp_extract(p.url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT)),
 counted AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k FROM judged WHERE host <> '' GROUP BY host),
 suffixed AS (SELECT *, CASE {suffix} ELSE list_last(string_split(host, '.')) END AS suffix FROM counted),

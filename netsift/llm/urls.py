@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netsift.llm.links import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -96,6 +98,8 @@ def reputation(outcomes: DataFrame, settings: Reputation = Reputation()) -> Data
         .agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))
         .select("host", suffix.alias("suffix"), domain.alias("domain"), "n", "k")
     )
+    # One row for each host; all levels and strengths come from it.
+    hosts = stored(hosts, "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     mean = total["k"] / total["n"] if total["n"] else 0.0
     levels = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))

@@ -5,11 +5,14 @@ from __future__ import annotations
 import math
 import random
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from compare import differences
 
 from netsift.llm import licenses, secrets, toxicity, urls, vectors
-from netsift.llm.queries import QUERIES, URL_RULES, held_out
+from netsift.llm.queries import ORACLE, QUERIES, URL_RULES, held_out
 
 
 def test_hosts_paths_and_rules(spark):
@@ -60,6 +63,10 @@ def test_reputation_query_judges_unlabelled_hosts(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r["page_id"]: r["verdict"] for r in QUERIES["op2_url_reputation"](spark, str(tmp_path)).collect()}
     assert len(got) == 483 and [got[i] for i in (0, 300, 1000, 1001, 1002)] == ["block", "allow", "block", "block", "allow"]
+    duck = duckdb.connect()
+    for name in ("pages", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert differences(QUERIES["op2_url_reputation"](spark, str(tmp_path)), duck, ORACLE["op2_url_reputation"]) == []
 
 
 def test_reputation_of_no_pages(spark):
@@ -230,33 +237,6 @@ def test_coverage_takes_longest_words():
     assert secrets.coverage("thetionXX", frozenset({"the", "tion", "io"})) == pytest.approx(7 / 9)
 
 
-def plain_dice(line, template):
-    a, b = (set(licenses.bigrams(licenses.normal_words(x))) for x in (line, template))
-    return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0.0
-
-
-def test_licences_equal_plain_version(spark):
-    rng = random.Random(3)
-    texts = [t for _, t in licenses.TEMPLATES]
-    lines = ["", "x", "All", "all RIGHTS -- reserved!!", "word " * 20_000]
-    for _ in range(300):
-        w = rng.choice(texts).split()
-        for _ in range(rng.choice([0, 0, 1, 2, 4])):
-            w[rng.randrange(len(w))] = rng.choice(["the", "über", "X", "license"])
-        lines.append(" ".join(w + ["extra"] * rng.choice([0, 0, 1, 3, 9])))
-    rows = [(i, "\n".join(lines[i : i + 3])) for i in range(0, len(lines), 3)] + [(7000, None), (None, "All rights reserved."), (1, "MIT"), (1, "MIT")]
-    docs = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id bigint, text string, line int, content string")
-    expected = []
-    for i, t in rows:
-        for n, line in enumerate((t or "").split("\n")):
-            best = max(((plain_dice(line, x), -k) for k, x in enumerate(texts)), default=(0, 0))
-            if best[0] >= licenses.THRESHOLD:
-                expected.append((str(i), n, -best[1], best[0]))
-    got = sorted((str(r["doc_id"]), r["line"], r["template"], r["dice"]) for r in licenses.scan(docs).collect())
-    assert got == sorted(expected) and len(got) > 100
-    assert licenses.scan(docs.limit(0)).count() == 0
-
-
 def plain_notices(text):
     """Best passages of all lengths by brute force, one after the other without overlap."""
     words = [(w, n) for n, line in enumerate(text.split("\n")) for w in licenses.normal_words(line)]
@@ -299,6 +279,22 @@ def test_notices_within_and_over_lines(spark):
         assert (line, name) in {(g[1], licenses.TEMPLATES[g[2]][0]) for g in got if g[0] == str(i)}
 
 
+def test_notices_of_odd_rows_equal_sql(spark):
+    """Notices over lines, within lines, next to each other and repeated, against the SQL twin."""
+    texts = [t for _, t in licenses.TEMPLATES]
+    rng = random.Random(4)
+    rows = [(0, "Copyright 2020 Foo. All rights reserved."), (0, "Copyright 2020 Foo. All rights reserved."), (1, None), (2, ""), (None, "MIT")]
+    rows += [(None, "Released under\n\nthe MIT License by Foo"), (3, "All rights reserved. " * 20), (4, "word " * 2_000)]
+    rows += [(10 + i, "\n".join(rng.sample(texts, 3)).replace(" the ", rng.choice([" the ", "\n the ", " a "]))) for i in range(30)]
+    docs = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id bigint, text string, line int, shared string")
+    got = licenses.notices(docs.repartition(3))
+    duck = duckdb.connect()
+    duck.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows]}))
+    assert differences(got, duck, licenses.notices_sql()) == [] and got.count() > 60
+    assert got.columns == ["doc_id", "line", "license", "template", "shared", "bigrams", "dice"]
+    assert licenses.notices(docs.limit(0)).count() == 0
+
+
 def plain_links(rows, threshold=0.95):
     good = {}
     for i, v in rows:
