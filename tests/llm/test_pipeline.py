@@ -68,6 +68,22 @@ def test_stages_keep_the_columns(spark, folder):
         assert sorted(map(str, ids)) == (["1", "2", "None"] if ids else [])
 
 
+def test_stages_keep_clashing_columns(spark, folder):
+    """Columns named as the operators' working columns come through unchanged, next to very long and odd texts."""
+    clashing = "score predicted kept findings removed n_words n_removed component_id n_shingles doc_tokens _place lang".split()
+    schema = "doc_id bigint, text string, n_chars bigint, " + ", ".join(f"{c} string" for c in clashing)
+    long = " ".join(f"word{i}" for i in range(60_000))
+    texts = ["a b c", "a b c", None, "", " \n", long, "x " * 50_000]
+    rows = [(i, t, len(t or ""), *[f"{c} {i}" for c in clashing]) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, folder)
+        assert frame.columns == ["doc_id", "text", "n_chars", *clashing]
+    done = {r["doc_id"]: r for r in frame.collect()}
+    assert set(done) == {0, 2, 3, 4, 5, 6} and done[5]["text"] == long
+    assert all(r[c] == f"{c} {i}" for i, r in done.items() for c in clashing)
+
+
 def test_names():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and all(re.fullmatch(r"\w+", n) for n in names)
