@@ -24,10 +24,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.links import small_batches
+from netsift.llm.links import small_batches, stored
 from netsift.llm.text import NOT_WORD, pieces, words
 
 SHORTEST, SHORTEST_VALUE = 16, 6
@@ -81,10 +82,11 @@ class Forest:
 
 @dataclass(frozen=True)
 class Corpus:
-    """Frequent short words, and log probabilities of character transitions."""
+    """Frequent short words, log probabilities of character transitions, and the number of candidates."""
 
     words: frozenset[str]
     transitions: np.ndarray
+    candidates: int = 0
 
 
 def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
@@ -93,11 +95,13 @@ def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
     small_batches(docs.sparkSession)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(_CLASSES * _CLASSES, np.int64)
+        # The last place counts the candidates.
+        pairs = np.zeros(_CLASSES * _CLASSES + 1, np.int64)
         for batch in pieces(batches):
+            pairs[-1] += sum(1 for text in batch.column("text").to_pylist() for _ in CANDIDATE.finditer(text or ""))
             found = words(batch.column("text"), NOT_WORD)
             kinds = _CLASS[found.data]
-            pairs += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=len(pairs))
+            pairs[:-1] += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=len(pairs) - 1)
             size = found.ends - found.starts
             letters = np.concatenate([[0], np.cumsum(kinds < 26)])
             plain = (size >= 2) & (size <= 6) & (letters[found.ends] - letters[found.starts] == size)
@@ -111,12 +115,14 @@ def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
         at = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_arrays([pa.array(-1 - at), pa.array(pairs[at])], ["code", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = stored(counted, "counts")
     # At most 28 * 28 transitions and ``vocabulary`` words come to the driver.
     pairs = counts.filter("code < 0").toPandas()
     frequent = counts.filter("code > 0").orderBy(F.desc("n"), "code").limit(settings.vocabulary).toPandas()
-    table = np.ones((_CLASSES, _CLASSES))
-    table.ravel()[(-1 - pairs["code"].to_numpy(np.int64))] += pairs["n"].to_numpy()
+    table = np.zeros(_CLASSES * _CLASSES + 1, np.int64)
+    table[-1 - pairs["code"].to_numpy(np.int64)] = pairs["n"].to_numpy()
+    candidates, table = int(table[-1]), 1.0 + table[:-1].reshape(_CLASSES, _CLASSES)
 
     def spell(code: int) -> str:
         out = ""
@@ -125,7 +131,7 @@ def corpus(docs: DataFrame, settings: Forest = Forest()) -> Corpus:
             out = chr(96 + letter) + out
         return out
 
-    return Corpus(frozenset(map(spell, frequent["code"].tolist())), np.log(table / table.sum(1, keepdims=True)))
+    return Corpus(frozenset(map(spell, frequent["code"].tolist())), np.log(table / table.sum(1, keepdims=True)), candidates)
 
 
 def _assigned(text: str) -> Iterator[tuple[int, int]]:
@@ -225,25 +231,33 @@ def ruled(text: str, start: int, end: int) -> int:
 
 
 def findings(docs: DataFrame, known: Corpus, settings: Forest = Forest()) -> DataFrame:
-    """A bounded sample of the candidates with features and rule labels: (doc_id, start, label, features)."""
+    """A sample of the candidates with features and rule labels: (key, label, features).
+
+    At most ``sample`` of them, those with the smallest hashes of id, place and surroundings. Only those below a hash
+    that about so many candidates lie below are looked at, and equal ones count once, so little more than the sample
+    leaves the tasks, however often rows repeat.
+    """
+    share = min(1.0, (settings.sample + 6 * math.sqrt(settings.sample)) / max(known.candidates, 1))
+    limit = math.ceil(share * 2.0**64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            ids, start, label, x = [], [], [], []
+            keys, label, x = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 for m in CANDIDATE.finditer(text or ""):
-                    ids.append(doc)
-                    start.append(m.start())
-                    label.append(ruled(text, m.start(), m.end()))
-                    x.append(features(text, m.start(), m.end(), known))
+                    around = text[max(0, m.start() - NAME_CONTEXT) : m.end() + 1]
+                    key = xxhash.xxh64_intdigest(f"{doc} {m.start()} {around}".encode("utf-8", "surrogatepass"))
+                    if key < limit:
+                        keys.append(key - (1 << 63))
+                        label.append(ruled(text, m.start(), m.end()))
+                        x.append(features(text, m.start(), m.end(), known))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(label, pa.int32()),
-                 pa.array(x, pa.list_(pa.float64()))],
-                ["doc_id", "start", "label", "features"],
+                [pa.array(keys, pa.int64()), pa.array(label, pa.int32()), pa.array(x, pa.list_(pa.float64()))],
+                ["key", "label", "features"],
             )
 
-    every = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, start int, label int, features array<double>")
-    return every.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start").limit(settings.sample)
+    every = docs.select("doc_id", "text").mapInArrow(run, "key bigint, label int, features array<double>")
+    return every.dropDuplicates(["key"]).orderBy("key").limit(settings.sample)
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, settings: Forest) -> list[list[float]]:
