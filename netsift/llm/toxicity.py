@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.links import small_batches
+from netsift.llm.links import small_batches, smallest_hashes
 from netsift.llm.text import NOT_WORD, Words, mix, pieces, words
 
 #: Lengths in bytes of the word beginnings that are features too.
@@ -103,13 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Ftrl = Ftrl()) -> Weights:
     Without any labelled document all scores are one half.
     """
     small_batches(docs.sparkSession)
-    chosen = (
-        labels.filter("doc_id is not null and label is not null")
-        .groupBy("doc_id")
-        .agg(F.max("label").cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(settings.sample)
-    )
+    known = labels.filter("doc_id is not null and label is not null").groupBy("doc_id")
+    chosen = smallest_hashes(known.agg(F.max("label").cast("int").alias("label")), settings.sample, "doc_id")
 
     def to_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
