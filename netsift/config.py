@@ -10,7 +10,7 @@ class GeoSettings:
     # Origin of the derived coordinates, also used for unreadable addresses.
     latitude: float = 33.5731
     longitude: float = -7.5898
-    # Largest number of range rows (after splitting by address prefix) that is sent to every executor.
+    # Largest number of pieces of ranges that is held in memory and sent to every executor.
     broadcast_rows: int = 500_000
     # An address holding more than 1/hot_fraction of the rows is joined through a broadcast of hot addresses.
     hot_fraction: int = 1_000
@@ -37,7 +37,10 @@ class StreamSettings:
     # Every n-th batch goes to the training lake, which bounds the rows that a retraining reads.
     training_every: int = 5
     # Tables of a micro-batch that are written at the same time.
-    writers: int = 4
+    writers: int = 8
+    # Records whose event time lies further from the ingest time than this are rejected.
+    future_minutes: int = 60
+    past_days: int = 3_650
 
 
 @dataclass(frozen=True)

@@ -121,3 +121,21 @@ def with_ip_hash(df: DataFrame, ip: str, into: str) -> DataFrame:
     numbered = with_ipv4_number(df, ip, "_v4")
     v6 = _ipv6_hash_of(df.sparkSession.sparkContext.applicationId, ip)
     return numbered.withColumn(into, F.coalesce(_hash_v4(F.col("_v4")), v6)).drop("_v4")
+
+
+def _hex(number: Column, digits: int) -> Column:
+    return F.lpad(F.hex(number), digits, "0")
+
+
+@lru_cache
+def _ipv6_hex_of(application: str, ip: str) -> Column:
+    groups = F.array_join(F.transform(ipv6_groups(F.col(ip)), lambda g: _hex(g, 4)), "")
+    return F.when(F.contains(F.col(ip), F.lit(":")), F.when(F.length(groups) == 32, groups))
+
+
+def with_ip_key(df: DataFrame, ip: str, into: str) -> DataFrame:
+    """Add the address as 16 bytes in the order of the addresses, IPv4 in its mapped block; NULL for anything but a literal."""
+    numbered = with_ipv4_number(df, ip, "_v4")
+    v6 = _ipv6_hex_of(df.sparkSession.sparkContext.applicationId, ip)
+    v4 = F.concat(F.lit("0" * 20 + "FFFF"), _hex(F.col("_v4"), 8))
+    return numbered.withColumn(into, F.unhex(F.coalesce(v4, v6))).drop("_v4")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.config import DEFAULTS, GeoSettings
-from netsift.functions.ip import with_ip_hash, with_ipv4_number
+from netsift.functions.ip import with_ip_hash, with_ip_key
+from netsift.operators.ranges import RangeIndex, lookup_sorted
 from netsift.schema import GENERIC_NAMES
+from netsift.session import scratch_dir
 
-PREFIX_BITS = 16
 # Fixed value: modulus and scale of the derived offsets (7 degrees in thousandths).
 SPREAD = 7_000
 SRID = 4326
@@ -63,76 +64,22 @@ def geo_point(df: DataFrame) -> DataFrame:
     return df.withColumns({"geom": point, "geom_ewkt": text})
 
 
-def _prefix(number: Column) -> Column:
-    return F.shiftrightunsigned(number, 32 - PREFIX_BITS)
+def _lookup_large(df: DataFrame, index: RangeIndex, column: str, geo: GeoSettings) -> DataFrame:
+    """Range join for range tables too large for every task.
 
-
-def _by_prefix(ranges: DataFrame) -> DataFrame:
-    """Ranges repeated once per address prefix that they touch."""
-    prefixes = F.sequence(_prefix(F.col("ip_from")), _prefix(F.col("ip_to")))
-    return ranges.select(
-        F.explode(prefixes).alias("_prefix"), "ip_from", "ip_to",
-        F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
-    )
-
-
-def _lookup_sorted(addresses: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Left range join by order: as ranges do not overlap, only the last one that starts at or before a number can hold it.
-
-    Addresses and range starts of a prefix are sorted together and the last
-    range is carried forward, so the work is linear in both.
-    """
-    start = F.greatest("ip_from", F.shiftleft(F.col("_prefix"), 32 - PREFIX_BITS))
-    starts = pieces.select("_prefix", start.alias("_at"), F.struct("ip_to", "_lat", "_lon").alias("_range"))
-    points = addresses.filter("_number IS NOT NULL").select(
-        _prefix(F.col("_number")).alias("_prefix"), F.col("_number").alias("_at"), F.struct(*addresses.columns).alias("_row")
-    )
-    # A range start comes before the addresses at the same number, as it has no row.
-    order = Window.partitionBy("_prefix").orderBy("_at", F.col("_row").isNotNull())
-    both = starts.unionByName(points, allowMissingColumns=True).withColumn(
-        "_range", F.last("_range", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    holds = F.col("_at") <= F.col("_range.ip_to")
-    found = both.filter("_row IS NOT NULL").select(
-        "_row.*", F.when(holds, F.col("_range._lat")).alias("_lat"), F.when(holds, F.col("_range._lon")).alias("_lon")
-    )
-    return found.unionByName(addresses.filter("_number IS NULL"), allowMissingColumns=True)
-
-
-def _lookup(addresses: DataFrame, ranges: DataFrame, small: bool) -> DataFrame:
-    """Left range join on the prefix; ``addresses`` carries ``_number``."""
-    pieces = _by_prefix(ranges)
-    if not small:
-        return _lookup_sorted(addresses, pieces)
-    keyed = addresses.withColumn("_prefix", _prefix(F.col("_number")))
-    match = (keyed["_prefix"] == pieces["_prefix"]) & keyed["_number"].between(pieces["ip_from"], pieces["ip_to"])
-    joined = keyed.join(F.broadcast(pieces), match, "left")
-    return joined.drop("_prefix", "ip_from", "ip_to")
-
-
-def fit_for_broadcast(ranges: DataFrame, limit: int) -> bool:
-    """Whether the ranges, repeated per prefix, are at most ``limit`` rows."""
-    pieces = F.sum(_prefix(F.col("ip_to")) - _prefix(F.col("ip_from")) + 1)
-    return (ranges.agg(pieces.alias("n")).first()["n"] or 0) <= limit
-
-
-def _lookup_large(df: DataFrame, ranges: DataFrame, column: str, geo: GeoSettings) -> DataFrame:
-    """Range join for range tables too large to broadcast.
-
-    Only distinct addresses meet the ranges: a prefix holds at most 65 536 of
-    them, so no join key can grow hot there. On the way back to the rows, the
-    addresses that hold more than 1/hot_fraction of all rows are broadcast;
-    there are fewer than hot_fraction of them. All others are shuffled. Rows
-    that need no shuffled match get keys that are spread over all partitions.
+    Only distinct addresses meet the ranges, so no address can grow hot there. On
+    the way back to the rows, the addresses that hold more than 1/hot_fraction of
+    all rows are broadcast; there are fewer than hot_fraction of them. All others
+    are shuffled. Rows that need no shuffled match get keys that are spread over
+    all partitions.
     """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_ip"))
-        .agg(F.count("*").alias("_rows"))
-    )
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "addresses")
+    known = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ip")).agg(F.count("*").alias("_rows"))
+    with_ip_key(known, "_ip", "_key").write.parquet(path)
+    counts = spark.read.parquet(path)
     total = counts.agg(F.sum("_rows")).scalar()
     hot = F.col("_rows") * geo.hot_fraction > total
-    located = _lookup(with_ipv4_number(counts, "_ip", "_number"), ranges, small=False)
+    located = lookup_sorted(counts, index.pieces(), "_key", index.rows + counts.count())
 
     def renamed(part: DataFrame, mark: str) -> DataFrame:
         return part.select(*[F.col(c).alias(f"{mark}{c}") for c in ("_ip", "_lat", "_lon")])
@@ -142,9 +89,9 @@ def _lookup_large(df: DataFrame, ranges: DataFrame, column: str, geo: GeoSetting
     settled = F.col(column).isNull() | F.col("_hot_ip").isNotNull()
     spread = F.concat(F.lit("~"), F.xxhash64(*df.columns).cast("string"))
     first = df.join(frequent, F.col(column) == F.col("_hot_ip"), "left").withColumn(
-        "_key", F.when(settled, spread).otherwise(F.col(column))
+        "_join", F.when(settled, spread).otherwise(F.col(column))
     )
-    return first.join(rare, F.col("_key") == F.col("_rare_ip"), "left").select(
+    return first.join(rare, F.col("_join") == F.col("_rare_ip"), "left").select(
         *df.columns,
         F.coalesce("_hot_lat", "_rare_lat").alias("_lat"),
         F.coalesce("_hot_lon", "_rare_lon").alias("_lon"),
@@ -153,22 +100,27 @@ def _lookup_large(df: DataFrame, ranges: DataFrame, column: str, geo: GeoSetting
 
 def geo_range_join(
     df: DataFrame,
-    ranges: DataFrame,
+    ranges: DataFrame | RangeIndex,
     column: str = "src_ip",
     geo: GeoSettings = DEFAULTS.geo,
     small: bool | None = None,
 ) -> DataFrame:
     """Add ``latitude``, ``longitude`` and ``geo_source`` (range/hash/default).
 
-    ``ranges`` holds ``ip_from, ip_to`` (IPv4 as BIGINT, inclusive, not
-    overlapping), ``latitude`` and ``longitude``. Addresses in no range get the
-    derived location. The rows are never shuffled as long as the ranges are few
-    enough to broadcast, which is measured unless ``small`` states it.
+    ``ranges`` holds ``ip_from, ip_to`` (inclusive: IPv4 as BIGINT, or literals of
+    either version), ``latitude`` and ``longitude``. Where ranges overlap, the one
+    that starts last counts, of these the one that ends first: of nested ranges
+    the innermost. Addresses in no range get the derived location.
+
+    A :class:`RangeIndex` may be given to cut the ranges only once. As long as its
+    pieces are at most ``broadcast_rows``, which is always checked, the rows are
+    never shuffled; ``small=False`` takes the way for larger ones, which gives the
+    same rows.
     """
-    if small is None:
-        small = fit_for_broadcast(ranges, geo.broadcast_rows)
-    if small:
-        found = _lookup(with_ipv4_number(df, column, "_number"), ranges, small=True).drop("_number")
+    if not isinstance(ranges, RangeIndex):
+        ranges = RangeIndex.build(ranges, 0 if small is False else geo.broadcast_rows)
+    if ranges.table is not None:
+        found = ranges.located(with_ip_key(df, column, "_key"), "_key").drop("_key")
     else:
         found = _lookup_large(df, ranges, column, geo)
     hashed = with_ip_hash(found, column, "_hash")
@@ -182,15 +134,11 @@ def geo_range_join(
 
 
 def attacks_geo(
-    alerts: DataFrame,
-    *keep: str,
-    ranges: DataFrame | None = None,
-    geo: GeoSettings = DEFAULTS.geo,
-    small: bool | None = None,
+    alerts: DataFrame, *keep: str, ranges: DataFrame | RangeIndex | None = None, geo: GeoSettings = DEFAULTS.geo
 ) -> DataFrame:
     """Located alerts, after the columns in ``keep``."""
     ready = geo_defaults(alerts).select(*keep, "src_ip", "attack_type", "severity", "timestamp")
-    return geo_hash(ready, geo=geo) if ranges is None else geo_range_join(ready, ranges, geo=geo, small=small)
+    return geo_hash(ready, geo=geo) if ranges is None else geo_range_join(ready, ranges, geo=geo)
 
 
 def _plotted(geo_rows: DataFrame) -> DataFrame:

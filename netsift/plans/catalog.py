@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.config import DEFAULTS
-from netsift.operators import clean, detect, geo, lookups, metrics, parse, quality, report, rollups, serve
+from netsift.operators import clean, detect, geo, lookups, metrics, pages, parse, quality, report, rollups, serve
 from netsift.plans import dashboard, flows as base, tables
 from netsift.plans.tables import model_metrics, stats
-from netsift.schema import COLUMN_TO_WIRE, FEATURES, LABEL
+from netsift.schema import COLUMN_TO_WIRE, DOUBLE_COLUMNS, FEATURES, LABEL
 from netsift.functions.times import minutes_before
 from netsift.sources.audit import parquet_audit
 from netsift.sources.streams import payload_text
@@ -82,7 +82,7 @@ def parquet_audit_(spark, folder):
 
 
 def encoded(spark, folder):
-    return parse.encode_flows(base.flows(spark, folder), "flow_id")
+    return parse.encode_flows(tables.flow_table(spark, folder), "flow_id")
 
 
 register("encode_flow_json", encoded)
@@ -90,39 +90,42 @@ register("encode_flow_json", encoded)
 
 @query
 def parse_flows(spark, folder):
-    return parse.parse_flows(encoded(spark, folder).withColumnRenamed("value", "raw_value"), "flow_id")
+    """Stored wire records back to columns."""
+    records = spark.read.parquet(tables.topic(spark, folder))
+    return parse.parse_flows(records.select(F.col("offset").alias("flow_id"), F.col("value").alias("raw_value")), "flow_id")
 
 
 @query
 def rename_fields(spark, folder):
-    flows = base.flows(spark, folder)
+    flows = tables.flow_table(spark, folder)
     wire = flows.select("flow_id", *[F.col(c).alias(w) for c, w in COLUMN_TO_WIRE.items()])
     return parse.rename_fields(wire)
 
 
 @query
 def normalize_columns_(spark, folder):
-    # Column titles as found in training files.
-    titles = {
+    """All features under column titles as found in training files."""
+    odd = {
         "flow_id": "Flow ID", "flow_bytes_per_sec": " Flow Bytes/s", "flow_packets_per_sec": " Flow Packets/s",
         "avg_packet_size": "Average Packet Size\r", "init_win_bytes_forward": "Init_Win_bytes_forward",
     }
-    flows = base.flows(spark, folder).select(*titles)
+    titles = {c: odd.get(c, " " + c.replace("_", " ").title()) for c in ("flow_id", *FEATURES, LABEL)}
+    flows = tables.flow_table(spark, folder).select(*titles)
     return normalize_columns(flows.toDF(*titles.values()))
 
 
 @query
 def pack_features(spark, folder):
-    """The packed text: how many of its fields are set, and two of them as JSON paths read them."""
-    packed = base.flows(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
-    field = lambda c: F.get_json_object("raw_features", f"$.{c}").cast("double").alias(c)
+    """The packed text: how many of its fields are set, and each as JSON paths read it."""
+    packed = tables.flow_table(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
     names = F.size(F.json_object_keys("raw_features")).cast("bigint").alias("fields")
-    return packed.select("flow_id", names, field("flow_duration"), field("true_label"))
+    fields = packed.select("flow_id", names, F.json_tuple("raw_features", *DOUBLE_COLUMNS).alias(*DOUBLE_COLUMNS))
+    return fields.withColumns({c: F.col(c).cast("double") for c in DOUBLE_COLUMNS})
 
 
 @query
 def unpack_features(spark, folder):
-    packed = base.flows(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
+    packed = tables.flow_table(spark, folder).select("flow_id", parse.packed_features().alias("raw_features"))
     return parse.unpack_features(packed, "flow_id")
 
 
@@ -130,37 +133,37 @@ def unpack_features(spark, folder):
 
 @query
 def add_missing_features(spark, folder):
-    flows = base.flows(spark, folder).select(*FEATURE_ROWS).drop("active_mean", "idle_mean", "flow_duration")
+    flows = tables.flow_table(spark, folder).select(*FEATURE_ROWS).drop("active_mean", "idle_mean", "flow_duration")
     return clean.add_missing_features(flows).select(*FEATURE_ROWS)
 
 
 for _name in ("fill_nulls", "fill_rates", "clean_stream", "clean_nonfinite", "clean_all", "drop_incomplete"):
     register(
         _name,
-        lambda spark, folder, f=getattr(clean, _name): f(base.flows(spark, folder).select(*FEATURE_ROWS)),
+        lambda spark, folder, f=getattr(clean, _name): f(tables.flow_table(spark, folder).select(*FEATURE_ROWS)),
     )
 
 
 @query
 def label_text(spark, folder):
-    return clean.label_text(base.flows(spark, folder).select("flow_id", LABEL))
+    return clean.label_text(tables.flow_table(spark, folder).select("flow_id", LABEL))
 
 
 @query
 def training_rows(spark, folder):
-    return clean.training_rows(base.scored(spark, folder), "flow_id")
+    return clean.training_rows(tables.scored(spark, folder), "flow_id")
 
 
 # Detection
 
 @query
 def rule_detector(spark, folder):
-    return detect.rule_detector(base.flows(spark, folder)).select("flow_id", "prediction")
+    return detect.rule_detector(tables.flow_table(spark, folder)).select("flow_id", "prediction")
 
 
 @query
 def attack_type(spark, folder):
-    return base.scored(spark, folder).select("flow_id", "prediction", "attack_type")
+    return tables.scored(spark, folder).select("flow_id", "prediction", "attack_type")
 
 
 @query
@@ -183,6 +186,14 @@ def attack_descriptions(spark, folder):
     return lookups.with_description(rollups.attack_distribution(tables.alerts(spark, folder)))
 
 
+@query
+def alert_page_deep(spark, folder):
+    """The page in the middle of the listing, out of the minutes that it lies in."""
+    directory = tables.minutes(spark, folder)
+    rows = directory.agg(F.sum("cnt")).first()[0]
+    return pages.alert_page_deep(tables.alerts(spark, folder), directory, rows // PAGE_SIZE // 2, PAGE_SIZE)
+
+
 # Locations
 
 @query
@@ -197,6 +208,34 @@ def geo_range_join(spark, folder):
     )
 
 
+def _nested(spark, folder, **options):
+    rows = tables.alerts(spark, folder).select("flow_id", "src_ip")
+    return geo.geo_range_join(rows, base.nested_ranges(spark, folder), **options)
+
+
+@query
+def geo_range_nested(spark, folder):
+    """Locations out of nested and crossing ranges: the innermost counts."""
+    return _nested(spark, folder)
+
+
+@query
+def geo_range_nested_shuffled(spark, folder):
+    """The same as it runs when the ranges are too many to broadcast."""
+    return _nested(spark, folder, small=False)
+
+
+@query
+def geo_range_ipv6(spark, folder):
+    """Locations of IPv6 addresses out of nested ranges."""
+    return geo.geo_range_join(base.ipv6_addresses(spark, folder), base.ipv6_ranges(spark, folder))
+
+
+@query
+def geo_range_ipv6_shuffled(spark, folder):
+    return geo.geo_range_join(base.ipv6_addresses(spark, folder), base.ipv6_ranges(spark, folder), small=False)
+
+
 @query
 def geo_range_join_shuffled(spark, folder):
     """The same join as it runs when the ranges are too many to broadcast."""
@@ -417,22 +456,22 @@ def ip_threat_score(spark, folder):
 
 # Data quality
 
-register("label_distribution", on(base.flows, quality.label_distribution))
-register("null_counts", on(base.flows, quality.null_counts))
-register("nonnull_counts", on(base.flows, quality.nonnull_counts))
-register("missing_addresses", on(base.flows, quality.missing_addresses))
-register("nonnull_sample", on(base.flows, quality.nonnull_sample))
+register("label_distribution", on(tables.flow_table, quality.label_distribution))
+register("null_counts", on(tables.flow_table, quality.null_counts))
+register("nonnull_counts", on(tables.flow_table, quality.nonnull_counts))
+register("missing_addresses", on(tables.flow_table, quality.missing_addresses))
+register("nonnull_sample", on(tables.flow_table, quality.nonnull_sample))
 
 
 @query
 def feature_profile(spark, folder):
-    profile = quality.feature_profile(base.scored(spark, folder))
+    profile = quality.feature_profile(tables.scored(spark, folder))
     return rounded(profile, 4, *[c for c in profile.columns if c.startswith("avg_")])
 
 
 @query
 def class_profile(spark, folder):
-    profile = quality.class_profile(base.scored(spark, folder))
+    profile = quality.class_profile(tables.scored(spark, folder))
     return rounded(profile, 3, *[c for c in profile.columns if c != LABEL])
 
 

@@ -155,3 +155,57 @@ def geo_ranges(spark: SparkSession, folder: str) -> DataFrame:
         (F.lit(30.0) + (k % 1000) / F.lit(100.0)).alias("latitude"),
         (F.lit(-10.0) + (k % 700) / F.lit(100.0)).alias("longitude"),
     )
+
+
+def nested_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The supplier ranges within wider ones (of some suppliers) within blocks of one per nation, and some that cross."""
+    inner = geo_ranges(spark, folder)
+    k = F.col("s_suppkey")
+    base = F.when(k % 2 == 0, F.lit(3323068416)).otherwise(F.lit(2886729728))
+    suppliers = spark.read.parquet(f"{folder}/supplier.parquet")
+
+    def spread(rows: DataFrame, start: Column, length: int, latitude: Column, longitude: Column) -> DataFrame:
+        lat, lon = latitude.cast("double").alias("latitude"), longitude.cast("double").alias("longitude")
+        return rows.select(start.cast("bigint").alias("ip_from"), (start + length - 1).cast("bigint").alias("ip_to"), lat, lon)
+
+    middle = spread(suppliers.filter(k % 5 == 0), base + F.expr("s_suppkey div 2") * 16, 100, F.lit(50) + k % 30, F.lit(60))
+    crossing = spread(suppliers.filter(k % 7 == 0), base + F.expr("s_suppkey div 2") * 16 + 4, 40, F.lit(-20) - k % 30, F.lit(-60))
+    n = F.col("n_nationkey")
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    outer = [
+        spread(nations, F.lit(block) + n * 256, 256, F.lit(80) - n, F.lit(10) + n) for block in (3323068416, 2886729728)
+    ]
+    result = inner
+    for part in (middle, crossing, *outer):
+        result = result.unionByName(part)
+    return result
+
+
+def ipv6_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """An IPv6 address for each event, in short and long spellings."""
+    k = F.col("event_id")
+    parts = [F.lower(F.hex(x)) for x in (F.expr("(event_id % 5000) div 256"), F.expr("event_id % 5000 % 256"), k % 7 + 1)]
+    short = F.concat(F.lit("2001:db8:"), parts[0], F.lit(":"), parts[1], F.lit("::"), parts[2])
+    long = F.concat(F.lit("2001:0DB8:"), F.lpad(parts[0], 4, "0"), F.lit(":"), parts[1], F.lit(":0:0:0:"), parts[2])
+    return spark.read.parquet(f"{folder}/events.parquet").select(
+        k.alias("flow_id"), F.when(k % 3 == 0, long).otherwise(short).alias("src_ip")
+    )
+
+
+def ipv6_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """IPv6 ranges as literals: one for all, some of 48 bits within it, and four subnets of 64 bits per supplier."""
+    k = F.col("s_suppkey")
+    rest = F.lit(":ffff:ffff:ffff:ffff")
+    x, y, z = (F.lower(F.hex(c)) for c in (k % 20, k % 252, k % 252 + 3))
+    suppliers = spark.read.parquet(f"{folder}/supplier.parquet")
+    inner = suppliers.select(
+        F.concat(F.lit("2001:db8:"), x, F.lit(":"), y, F.lit("::")).alias("ip_from"),
+        F.concat(F.lit("2001:db8:"), x, F.lit(":"), z, rest).alias("ip_to"),
+        (k % 90).cast("double").alias("latitude"), (k % 170).cast("double").alias("longitude"),
+    )
+    nets = suppliers.filter((k < 20) & (k % 3 != 0)).select(
+        F.concat(F.lit("2001:db8:"), x, F.lit("::")), F.concat(F.lit("2001:db8:"), x, F.lit(":ffff"), rest),
+        (k + 100).cast("double"), F.lit(7.0),
+    )
+    every = suppliers.filter(k == 0).select(F.lit("2001:db8::"), F.concat(F.lit("2001:db8:ffff:ffff"), rest), F.lit(1.0), F.lit(2.0))
+    return inner.union(nets).union(every)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from netsift.config import ForestSettings
 from netsift.functions.times import minutes_before, wire_time
-from netsift.operators import clean, forest, geo, rollups, serve
+from netsift.functions.times import trunc
+from netsift.operators import clean, forest, geo, pages, quality, rollups, serve, sketches
 from netsift.operators.detect import OTHER_CLASS, detect
+from netsift.operators.parse import parse_flows
 from netsift.plans import dashboard, tables
 from netsift.plans.catalog import query, register
 from netsift.schema import FEATURES, LABEL
@@ -20,6 +22,9 @@ from netsift.sinks.versions import Versions
 from netsift.sources.streams import read_flow_stream
 from netsift.sources.tables import read_lake, read_table as read_source, read_training_csv
 from netsift.streaming import fanout as stream
+from netsift.streaming import feed, late, ledger
+from netsift.streaming.incremental import refresh_incremental as refresh_more
+from netsift.streaming.progress import ProgressLog
 from netsift.streaming.timeline import dropped_rows, read_timeline, start_timeline, windowed_counts
 
 WIRE_ALERT = (
@@ -90,21 +95,23 @@ def table_read(spark, folder):
 
 @query
 def stream_source(spark, folder):
-    """All raw records, as read by the streaming source."""
+    """All raw records, as read by the streaming source, parsed."""
     root = scratch_dir(spark, "raw")
     raw = wire_stream(spark, folder)
     finish(
         raw.writeStream.format("parquet").option("path", f"{root}/data").option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start()
     )
-    return spark.read.parquet(f"{root}/data").agg(F.count("raw_value").alias("cnt"))
+    return parse_flows(spark.read.parquet(f"{root}/data"))
 
 
 @query
 def raw_bridge(spark, folder):
+    """All records as the bridge stored them, parsed, and whether they are stamped."""
     root = scratch_dir(spark, "bridge")
     finish(stream.raw_bridge(wire_stream(spark, folder), f"{root}/data", f"{root}/checkpoint", once=True))
-    return read_table(spark, f"{root}/data").agg(F.count("raw_value").alias("cnt"), F.count_if(F.col("timestamp").isNull()).alias("unstamped"))
+    copied = read_table(spark, f"{root}/data").withColumn("stamped", F.col("timestamp").isNotNull())
+    return parse_flows(copied, "stamped")
 
 
 @query
@@ -189,11 +196,8 @@ def progress(spark, folder):
     return rows.groupBy("stage").agg(F.count("*").alias("batches"), F.sum("batch_rows").alias("batch_rows"))
 
 
-@query
-def refresh_rollups(spark, folder):
-    """The five rollups as published by a refresh, in one table."""
-    root = detected(spark, folder)
-    stream.refresh_rollups(spark, root)
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The five rollups as last published, in one table."""
     parts = []
     for name, keys in rollups.ROLLUP_KEYS.items():
         rollup = stream.read_rollup(spark, root, name)
@@ -205,24 +209,129 @@ def refresh_rollups(spark, folder):
     return result
 
 
-#: Sections of the stored dashboard whose figures depend on how the stream cut its batches.
-BY_BATCH = ("latest", "traffic_timeline", "mean")
+@query
+def refresh_rollups(spark, folder):
+    """The five rollups as published by a refresh."""
+    root = detected(spark, folder)
+    stream.refresh_rollups(spark, root)
+    return published(spark, root)
+
+
+@query
+def refresh_incremental(spark, folder):
+    """The five rollups after three incremental refreshes; before the second, a batch that was cut short is replayed."""
+    root = scratch_dir(spark, "incremental")
+    fan, flows = stream.FanOut(spark, root), tables.stored_flows(spark, folder)
+    quarter = [flows.filter(F.col("flow_id") % 4 == n) for n in range(4)]
+    fan(quarter[0], 0)
+    fan(quarter[1].filter("flow_id % 8 = 1"), 1)
+    refresh_more(spark, root)
+    fan(quarter[1], 1)
+    fan(quarter[2], 2)
+    refresh_more(spark, root)
+    fan(quarter[3], 3)
+    refresh_more(spark, root)
+    return published(spark, root)
+
+
+def damaged(spark: SparkSession, folder: str) -> str:
+    """Root folder of the stream over records some of which are no flows, with the log of its progress."""
+    key = (spark.sparkContext.applicationId, f"damaged {folder}")
+    if key not in _ROOTS:
+        root = scratch_dir(spark, "damaged-stream")
+        log = ProgressLog(spark, f"{root}/batch_progress")
+        spark.streams.addListener(log)
+        try:
+            raw = read_flow_stream(spark, "text", {"maxFilesPerTrigger": "2"}, tables.damaged(spark, folder))
+            finish(stream.start_detection(raw, stream.FanOut(spark, root), f"{root}/checkpoint", once=True))
+            log.close()
+        finally:
+            spark.streams.removeListener(log)
+        _ROOTS[key] = root
+    return _ROOTS[key]
+
+
+@query
+def stream_progress(spark, folder):
+    """What the listener stored of all batches, summed up."""
+    rows = read_table(spark, f"{damaged(spark, folder)}/batch_progress")
+    return rows.agg(*[F.sum(c).alias(c) for c in ("rows", "malformed", "missing_src_ip", "rejected", "input_rows")])
+
+
+@query
+def fanout_rejects(spark, folder):
+    """Alerts and rejected records by reason; together they are all records."""
+    root = damaged(spark, folder)
+    rejects = read_table(spark, f"{root}/rejects").filter("raw_value IS NOT NULL")
+    alerts = read_table(spark, f"{root}/alerts").groupBy(F.lit("alert").alias("kind"))
+    return alerts.agg(F.count("*").alias("cnt")).union(rejects.groupBy("reject_reason").agg(F.count("*")))
+
+
+@query
+def stream_alert_page_deep(spark, folder):
+    """The page in the middle of the stored listing, by the directory that the stream keeps."""
+    directory = stream_table("alert_minutes")(spark, folder)
+    rows = directory.agg(F.sum("cnt")).first()[0]
+    return pages.alert_page_deep(stream_table("alerts")(spark, folder), directory, rows // 50 // 2, 50)
+
+
+@query
+def attackers_by_range(spark, folder):
+    """Different attackers of each day: exact, and whether the merged sketches are within their error."""
+    day = trunc("day", F.col("hour")).alias("day")
+    estimated = sketches.distinct_attackers(stream_table("attackers")(spark, folder), day).withColumnRenamed("cnt", "estimate")
+    alerts = rollups.attacks(stream_table("alerts")(spark, folder))
+    exact = alerts.groupBy(trunc("day", F.col("timestamp")).alias("day")).agg(F.countDistinct("src_ip").alias("cnt"))
+    near = F.abs(F.col("estimate") - F.col("cnt")) <= F.greatest(F.lit(1.0), sketches.DISTINCT_ERROR * F.col("cnt"))
+    return exact.join(estimated, "day", "left").select("day", "cnt", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
+@query
+def top_ips_stream(spark, folder):
+    """The most frequent attackers, out of what each batch kept."""
+    return sketches.top_ips_of(stream_table("frequent_ips")(spark, folder), stream_table("alerts")(spark, folder))
+
+
+@query
+def top_ips_stream_verified(spark, folder):
+    """The same from summaries that leave addresses out, so that candidates are verified."""
+    alerts = stream_table("alerts")(spark, folder)
+    return sketches.top_ips_of(sketches.frequent_ips(alerts, "batch_id", keep=100), alerts)
+
+
+@query
+def class_profile_stored(spark, folder):
+    """Mean and deviation by label, out of the profiles of all batches."""
+    profile = sketches.class_profile_of(stream_table("profiles")(spark, folder))
+    return profile.withColumns({c: F.round(c, 3) for c in profile.columns if c != LABEL})
+
+
+@query
+def class_quantiles_stored(spark, folder):
+    """Quartiles by label, out of the sketches of all batches, and whether their ranks are within the sketches' error."""
+    found = sketches.quantiles_of(stream_table("profiles")(spark, folder))
+    wide = tables.scored(spark, folder).filter(F.col(LABEL).isNotNull()).select(LABEL, *quality.CLASS_PROFILED)
+    long = wide.unpivot([LABEL], list(quality.CLASS_PROFILED), "name", "x")
+    ranks = long.join(F.broadcast(found), [LABEL, "name"]).groupBy(LABEL, "name", "share", "value", "n").agg(
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    error = sketches.QUANTILE_ERROR * F.col("n") + 1
+    wanted = F.col("share") * F.col("n")
+    return ranks.select(LABEL, "name", "share", ((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("within_error"))
 
 
 @query
 def dashboard_stored(spark, folder):
-    """The dashboard as served in a deployment, without the sections of :func:`dashboard_stored_traffic`."""
+    """The dashboard as served in a deployment."""
     root = detected(spark, folder)
     stream.refresh_rollups(spark, root)
-    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(~F.col("section").isin(*BY_BATCH))
+    return dashboard.stacked(stream.stored_dashboard(spark, root)).withColumn("value", F.round("value", 6))
 
 
 @query
 def dashboard_stored_traffic(spark, folder):
-    """The dashboard's other sections, which follow the stream's batches and so have no SQL twin."""
-    root = detected(spark, folder)
-    stream.refresh_rollups(spark, root)
-    return dashboard.stacked(stream.stored_dashboard(spark, root)).filter(F.col("section").isin(*BY_BATCH))
+    """The dashboard's sections that follow the stream's batches."""
+    return dashboard_stored(spark, folder).filter(F.col("section").isin("latest", "traffic_timeline", "mean"))
 
 
 @query
@@ -271,10 +380,64 @@ def recovery(spark, folder):
     return counts_of(spark, root)
 
 
+@query
+def recovery_without_checkpoint(spark, folder):
+    """Row counts after the stream failed in its third batch, lost its checkpoint, and was started with a new one."""
+    root = scratch_dir(spark, "lost")
+
+    class Failing(stream.FanOut):
+        def __call__(self, batch, batch_id):
+            if batch_id == 2:
+                write_batch(batch.limit(10), self.path("alerts"), batch_id)
+                raise RuntimeError("stopped for the test")
+            super().__call__(batch, batch_id)
+
+    try:
+        finish(stream.start_detection(topic_stream(spark, folder), Failing(spark, root), f"{root}/first", once=True))
+    except Exception as failure:  # noqa: BLE001
+        if "stopped for the test" not in str(failure):
+            raise
+    rest = ledger.unseen(topic_stream(spark, folder), root)
+    finish(stream.start_detection(rest, stream.FanOut(spark, root), f"{root}/second", once=True))
+    return counts_of(spark, root)
+
+
+@query
+def geo_feed_stream(spark, folder):
+    """All locations as a stream of their table hands them on, while a batch is replayed and others follow."""
+    root = scratch_dir(spark, "feed")
+    fan, flows = stream.FanOut(spark, root), tables.stored_flows(spark, folder)
+    third = [flows.filter(F.col("flow_id") % 3 == n) for n in range(3)]
+
+    def hand_on() -> None:
+        finish(feed.start_geo_feed(feed.read_geo_feed(spark, root), f"{root}/handed", f"{root}/feed", once=True))
+
+    fan(third[0], 0)
+    fan(third[1], 1)
+    hand_on()
+    fan(third[1], 1)
+    fan(third[2], 2)
+    hand_on()
+    rows = read_table(spark, f"{root}/handed")
+    return rows.select("flow_id", "src_ip", "attack_type", "severity", "timestamp", "latitude", "longitude", "geo_source")
+
+
+@query
+def stream_timeline_late(spark, folder):
+    """The timeline with a lateness of an hour, far below the span of the rows, and its corrections."""
+    root = scratch_dir(spark, "late")
+    raw = read_flow_stream(spark, "text", {"maxFilesPerTrigger": "3"}, tables.dealt(spark, folder))
+    alerts = detect(clean.clean_all(stream.accepted(stream.flows_from(raw))))
+    finish(late.start_late_timeline(alerts, root, f"{root}/checkpoint", lateness=3_600, once=True))
+    if read_table(spark, f"{root}/late").isEmpty():
+        raise RuntimeError("no row came late")
+    return late.read_windows(spark, root)
+
+
 @query
 def stream_timeline(spark, folder):
     root = scratch_dir(spark, "timeline")
-    parsed = stream.flows_from(wire_stream(spark, folder))
+    parsed = stream.accepted(stream.flows_from(wire_stream(spark, folder)))
     # Files arrive in no particular order, so a row can be as late as the table's span.
     span = (F.unix_timestamp(F.max("timestamp")) - F.unix_timestamp(F.min("timestamp"))).alias("seconds")
     seconds = tables.stored_flows(spark, folder).agg(span).first()["seconds"] or 0

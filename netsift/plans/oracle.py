@@ -280,6 +280,55 @@ _TABLE_COUNTS = (
 )
 
 
+# The topic has six files of as many offsets, each a batch of the stream.
+_FILE = "k // ((SELECT max(event_id) FROM events) // 6 + 1)"
+
+
+def _by_stream(sql: str) -> str:
+    """The same over the batches of the stream."""
+    return sql.replace(f"k // {BATCH_ROWS} AS batch_id", f"{_FILE} AS batch_id")
+
+
+_DAMAGED = f"""{_FLOWS},
+planted AS (SELECT *, CASE WHEN flow_id % 97 = 5 THEN 'malformed' WHEN flow_id % 89 = 7 THEN 'future'
+  WHEN flow_id % 83 = 3 THEN 'past' ELSE 'alert' END AS kind FROM flows)"""
+
+_MIDDLE = f"""SELECT {_LISTING} FROM (
+  SELECT *, row_number() OVER (ORDER BY {_NEWEST}) - 1 AS place FROM alerts), (SELECT count(*) // 50 // 2 * 50 AS first FROM alerts)
+WHERE place >= first AND place < first + 50"""
+
+# Innermost range: the one that starts last, of these the one that ends first.
+_INNER = "row_number() OVER (PARTITION BY flow_id ORDER BY low DESC, high, lat, lon) AS place"
+
+_NESTED_SQL = f"""WITH {_RANGES},
+near AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 3323068416 ELSE 2886729728 END + (s_suppkey // 2) * 16 AS base FROM supplier),
+every AS (
+  SELECT ip_from AS low, ip_from + 7 AS high, lat, lon FROM places
+  UNION ALL SELECT base, base + 99, (50 + k % 30)::DOUBLE, 60 FROM near WHERE k % 5 = 0
+  UNION ALL SELECT base + 4, base + 43, (-20 - k % 30)::DOUBLE, -60 FROM near WHERE k % 7 = 0
+  UNION ALL SELECT b + n_nationkey * 256, b + n_nationkey * 256 + 255, (80 - n_nationkey)::DOUBLE, (10 + n_nationkey)::DOUBLE
+    FROM nation, (VALUES (3323068416), (2886729728)) AS v(b)
+),
+found AS (SELECT flow_id, lat, lon, {_INNER} FROM hashed JOIN every ON num BETWEEN low AND high)
+SELECT a.flow_id, a.src_ip, coalesce(f.lat, {_LAT}) AS latitude, coalesce(f.lon, {_LON}) AS longitude,
+  CASE WHEN f.lat IS NOT NULL THEN 'range' WHEN h IS NOT NULL THEN 'hash' ELSE 'default' END AS geo_source
+FROM hashed a LEFT JOIN (SELECT * FROM found WHERE place = 1) f ON f.flow_id = a.flow_id"""
+
+_IPV6_SQL = f"""WITH addresses AS (
+  SELECT event_id AS flow_id, event_id % 5000 // 256 AS x, event_id % 5000 % 256 AS y, event_id % 7 + 1 AS z FROM events),
+every AS (
+  SELECT s_suppkey % 20 * 65536 + s_suppkey % 252 AS low, s_suppkey % 20 * 65536 + s_suppkey % 252 + 3 AS high,
+    (s_suppkey % 90)::DOUBLE AS lat, (s_suppkey % 170)::DOUBLE AS lon FROM supplier
+  UNION ALL SELECT s_suppkey * 65536, s_suppkey * 65536 + 65535, (s_suppkey + 100)::DOUBLE, 7 FROM supplier
+    WHERE s_suppkey < 20 AND s_suppkey % 3 <> 0
+  UNION ALL SELECT -1, 4294967296, 1, 2
+),
+found AS (SELECT flow_id, x, y, z, lat, lon, {_INNER} FROM addresses JOIN every ON x * 65536 + y BETWEEN low AND high)
+SELECT flow_id, CASE WHEN flow_id % 3 = 0 THEN format('2001:0DB8:{{:04x}}:{{:x}}:0:0:0:{{:x}}', x, y, z)
+  ELSE format('2001:db8:{{:x}}:{{:x}}::{{:x}}', x, y, z) END AS src_ip, lat AS latitude, lon AS longitude, 'range' AS geo_source
+FROM found WHERE place = 1"""
+
+
 ORACLE: dict[str, str] = {
     "raw_value_cast": "SELECT props AS raw_value FROM events",
     "parquet_audit": " UNION ALL ".join(
@@ -289,9 +338,7 @@ ORACLE: dict[str, str] = {
     "rename_fields": _flows(
         f'SELECT flow_id, src_ip, dst_ip, src_port, dst_port, protocol, "timestamp", {F}, true_label FROM flows'
     ),
-    "normalize_columns": _flows(
-        "SELECT flow_id, flow_bytes_per_sec, flow_packets_per_sec, avg_packet_size, init_win_bytes_forward FROM flows"
-    ),
+    "normalize_columns": _flows(f"SELECT flow_id, {F}, true_label FROM flows"),
     "unpack_features": _flows(f"SELECT flow_id, {F}, true_label FROM flows"),
     "add_missing_features": _flows(
         "SELECT flow_id, "
@@ -508,8 +555,8 @@ ORACLE: dict[str, str] = {
     "csv_scan_inferred": _flows(f"SELECT flow_id, {F}, true_label FROM flows"),
     "training_scan": _alerts(f"SELECT {F}, true_label FROM scored WHERE true_label IS NOT NULL"),
     "table_read": "SELECT event_id, ts, user_id, event_type FROM events",
-    "stream_source": _flows("SELECT count(*) AS cnt FROM flows"),
-    "raw_bridge": _flows("SELECT count(*) AS cnt, 0::BIGINT AS unstamped FROM flows"),
+    "stream_source": _flows(f"SELECT {_WIRE_COLUMNS} FROM flows"),
+    "raw_bridge": _flows(f"SELECT true AS stamped, {_WIRE_COLUMNS} FROM flows"),
     "fanout": _alerts(
         'SELECT "timestamp", attack_type, src_ip, dst_ip, src_port, dst_port, protocol, severity, prediction, true_label FROM alerts'
     ),
@@ -528,8 +575,42 @@ ORACLE: dict[str, str] = {
     "stream_geo_since": _geo(f"SELECT * EXCLUDE (batch_id) FROM geo WHERE {_SINCE_DAY} ORDER BY {_NEWEST}"),
     "stream_geo_points": _geo("SELECT flow_id, longitude AS lon, latitude AS lat, 4326::INTEGER AS srid FROM geo"),
     "refresh_rollups": _alerts(_ROLLUPS),
-    # Batches of the stream are cut differently, so the sections per batch are left out on both sides.
-    "dashboard_stored": f"SELECT * FROM (WITH {_DASHBOARD}) WHERE section NOT IN ('latest', 'traffic_timeline', 'mean')",
+    "dashboard_stored": _by_stream(f"WITH {_DASHBOARD}"),
+    "dashboard_stored_traffic": _by_stream(
+        f"SELECT * FROM (WITH {_DASHBOARD}) WHERE section IN ('latest', 'traffic_timeline', 'mean')"
+    ),
+    "fanout_metrics_totals": _batches(
+        "SELECT sum(total_samples)::BIGINT AS total_samples, sum(true_positives)::BIGINT AS true_positives, "
+        "sum(true_negatives)::BIGINT AS true_negatives, sum(false_positives)::BIGINT AS false_positives, "
+        "sum(false_negatives)::BIGINT AS false_negatives FROM metrics"
+    ),
+    "fanout_summary_totals": _alerts(
+        'SELECT attack_type, count(*) AS count, max("timestamp") AS last_seen FROM alerts GROUP BY attack_type'
+    ),
+    "refresh_incremental": _alerts(_ROLLUPS),
+    "stream_progress": f"WITH {_DAMAGED} SELECT count(*) AS rows, count(*) FILTER (WHERE kind = 'malformed') AS malformed, "
+    "count(*) FILTER (WHERE kind = 'malformed' OR src_ip IS NULL) AS missing_src_ip, "
+    "count(*) FILTER (WHERE kind <> 'alert') AS rejected, count(*) AS input_rows FROM planted",
+    "fanout_rejects": f"WITH {_DAMAGED} SELECT kind, count(*) AS cnt FROM planted GROUP BY kind",
+    "alert_page_deep": _alerts(_MIDDLE),
+    "stream_alert_page_deep": _alerts(_MIDDLE),
+    "attackers_by_range": _alerts(
+        "SELECT date_trunc('day', \"timestamp\")::TIMESTAMP AS day, count(DISTINCT src_ip) AS cnt, true AS within_error "
+        "FROM attacks GROUP BY 1"
+    ),
+    "top_ips_stream": _alerts(_top("attacks", "src_ip", 50)),
+    "top_ips_stream_verified": _alerts(_top("attacks", "src_ip", 50)),
+    "class_quantiles_stored": _alerts(
+        "SELECT DISTINCT true_label, name, share::DOUBLE AS share, true AS within_error FROM scored, "
+        f"(VALUES {', '.join(f'({c!r})' for c in _CLASS_FEATURES)}) AS c(name), (VALUES (0.25), (0.5), (0.75)) AS q(share) "
+        "WHERE true_label IS NOT NULL"
+    ),
+    "geo_range_nested": _NESTED_SQL,
+    "geo_range_nested_shuffled": _NESTED_SQL,
+    "geo_range_ipv6": _IPV6_SQL,
+    "geo_range_ipv6_shuffled": _IPV6_SQL,
+    "recovery_without_checkpoint": _geo(_TABLE_COUNTS),
+    "geo_feed_stream": _geo("SELECT * EXCLUDE (batch_id) FROM geo"),
     "idempotent_replay": _geo(_TABLE_COUNTS),
     "recovery": _geo(_TABLE_COUNTS),
     "hot_reload": _flows(
@@ -539,6 +620,9 @@ ORACLE: dict[str, str] = {
     "stream_timeline": _alerts(
         f"SELECT {_MINUTE} AS minute, attack_type, count(*) AS cnt FROM attacks GROUP BY 1, 2"
     ),
+    "stream_timeline_late": _alerts(
+        f"SELECT {_MINUTE} AS minute, attack_type, count(*) AS cnt FROM attacks GROUP BY 1, 2"
+    ),
     "train_gate": "SELECT * FROM (VALUES ('met', NULL), ('missed', 'not enough rows'), ('unlabelled', 'no label column')) AS t(gate, skipped)",
 }
 ORACLE |= {f"stream_{name}": ORACLE[name] for name in ("geo_map", "geo_bbox")}
@@ -559,13 +643,16 @@ ORACLE |= {
     ),
     "pack_features": _flows(
         "SELECT flow_id, (1 + " + " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in FEATURES)
-        + ")::BIGINT AS fields, flow_duration, true_label FROM flows"
+        + f")::BIGINT AS fields, {F}, true_label FROM flows"
     ),
-    "training_sink": "SELECT 2::BIGINT AS batches, 0::BIGINT AS wrong",
-    "progress": _alerts(
-        "SELECT stage, 8::BIGINT AS batches, (SELECT count(*) FROM alerts)::BIGINT AS batch_rows FROM (VALUES "
-        "('score'), ('alerts'), ('attacks_geo'), ('attack_ips'), ('attack_cube'), ('attack_summary'), "
-        "('model_metrics'), ('traffic_stats')) AS s(stage) UNION ALL "
-        "SELECT 'training', 2, CAST((SELECT count(*) FROM alerts) / 4 AS BIGINT)"
+    "training_sink": _by_stream(
+        _batches("SELECT count(DISTINCT batch_id) AS batches, 0::BIGINT AS wrong FROM alerts WHERE batch_id % 5 = 0")
     ),
+    "progress": _by_stream(_alerts(
+        "SELECT stage, count(DISTINCT batch_id) AS batches, count(*) AS batch_rows FROM alerts, (VALUES "
+        "('score'), ('alerts'), ('attacks_geo'), ('attack_ips'), ('attack_cube'), ('attack_summary'), ('model_metrics'), "
+        "('traffic_stats'), ('alert_minutes'), ('attackers'), ('frequent_ips'), ('profiles'), ('training')) AS s(stage) "
+        "WHERE stage <> 'training' OR batch_id % 5 = 0 GROUP BY stage"
+    )),
 }
+ORACLE["class_profile_stored"] = ORACLE["class_profile"]

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.operators import metrics
 from netsift.operators.clean import clean_all, training_rows
+from netsift.operators.detect import detect
 from netsift.operators.forest import from_lake, publish, train
+from netsift.operators.pages import minute_counts
 from netsift.operators.parse import encode_flows
 from netsift.plans import flows
 from netsift.session import scratch_dir
@@ -23,6 +25,9 @@ from netsift.sinks.tables import read_table, write_table
 from netsift.sinks.versions import Versions
 from netsift.sources.tables import read_lake
 
+ROWS_PER_PART = 12_500
+#: Files of the topic, one for each batch of the stream.
+TOPIC_FILES = 6
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
@@ -49,11 +54,29 @@ def stored_flows(spark: SparkSession, folder: str) -> DataFrame:
     """The stored flow records, with the ingest time that a stream would add."""
 
     def write(path: str) -> None:
-        flows.flows(spark, folder).withColumn("ingest_time", F.col("timestamp")).write.parquet(path)
+        rows = flows.flows(spark, folder)
+        # The given table may be a single partition; the parts follow its rows, not the cores at hand.
+        parts = rows.count() // ROWS_PER_PART + 1
+        rows.withColumn("ingest_time", F.col("timestamp")).repartition(parts, "flow_id").write.parquet(path)
 
     return spark.read.parquet(_stored(spark, folder, "flows", write))
 
 
+def scored(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned and classified flows, out of the stored ones."""
+    return detect(clean_all(flow_table(spark, folder)))
+
+
+def flow_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored flow records without their ingest time."""
+    return stored_flows(spark, folder).drop("ingest_time")
+
+
+def minutes(spark: SparkSession, folder: str) -> DataFrame:
+    """Page directory of the stored alerts."""
+    return _kept(spark, folder, "minutes", lambda: minute_counts(alerts(spark, folder)))
+
+
 def wire(spark: SparkSession, folder: str) -> str:
     """Folder of JSON-lines files with all flows in wire format, in several files."""
 
@@ -66,13 +89,45 @@ def wire(spark: SparkSession, folder: str) -> str:
     return _stored(spark, folder, "wire", write)
 
 
+def dealt(spark: SparkSession, folder: str) -> str:
+    """Folder of the JSON-lines files with the records dealt over them, so that each file spans the whole time."""
+
+    def write(path: str) -> None:
+        encode_flows(stored_flows(spark, folder)).select("value").repartition(TOPIC_FILES).write.text(path)
+
+    return _stored(spark, folder, "dealt", write)
+
+
+def damaged(spark: SparkSession, folder: str) -> str:
+    """Folder of the JSON-lines files with some records cut off and some with times far in the future or the past."""
+    k, text = F.col("flow_id"), F.col("value")
+
+    def at(moment: str) -> Column:
+        return F.regexp_replace(text, '"timestamp":"[^"]*"', f'"timestamp":"{moment}T00:00:00Z"')
+
+    half = F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
+    planted = F.when(k % 97 == 5, half).when(k % 89 == 7, at("2999-01-01")).when(k % 83 == 3, at("1970-01-02")).otherwise(text)
+
+    def write(path: str) -> None:
+        encode_flows(stored_flows(spark, folder), "flow_id").select(planted.alias("value")).write.text(path)
+
+    return _stored(spark, folder, "damaged", write)
+
+
 def topic(spark: SparkSession, folder: str) -> str:
-    """Folder of the same messages as a topic's records: key, value, partition, offset."""
+    """Folder of the same messages as a topic's records: key, value, partition, offset.
+
+    Each file holds a range of offsets, and files are written one after the other, so a stream reads them in that order.
+    """
 
     def write(path: str) -> None:
+        records = stored_flows(spark, folder)
+        size = records.agg(F.max("flow_id")).first()[0] // TOPIC_FILES + 1
         place = (F.lit(0).alias("partition"), F.col("flow_id").alias("offset"))
-        messages = encode_flows(stored_flows(spark, folder), "flow_id").select("key", "value", *place)
-        messages.repartition(8).write.parquet(path)
+        messages = encode_flows(records, "flow_id").select("key", "value", *place)
+        for n in range(TOPIC_FILES):
+            part = messages.filter(F.col("offset").between(n * size, (n + 1) * size - 1))
+            part.coalesce(1).write.mode("append").parquet(path)
 
     return _stored(spark, folder, "topic", write)
 

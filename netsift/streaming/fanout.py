@@ -17,41 +17,72 @@ from netsift.functions.times import read_wire_time
 from netsift.operators.clean import clean_all, training_rows
 from netsift.operators.detect import to_alerts
 from netsift.operators.forest import ModelCache, score
-from netsift.operators.geo import attacks_geo, fit_for_broadcast, geo_point
+from netsift.operators.geo import attacks_geo, geo_point
 from netsift.operators.metrics import METRICS, STATS, attack_summary, batch_counts, with_scores, with_shares
+from netsift.operators.pages import minute_counts
 from netsift.operators.parse import parse_flows
+from netsift.operators.ranges import RangeIndex
 from netsift.operators.rollups import attack_cube, attack_ips, rollups_from
 from netsift.operators.serve import geo_after_batch, latest_moment
+from netsift.operators.sketches import attackers_by_hour, frequent_ips, profile_parts
 from netsift.plans.dashboard import sections
 from netsift.sinks.tables import exists, read_table, write_batch
 from netsift.sinks.versions import Versions
 from netsift.sources.streams import record_key
+from netsift.streaming import ledger
 
 # Tables that are partitioned by date, and tables whose rows grow with the batch.
 DATED = ("alerts", "attacks_geo")
-LARGE = ("alerts", "attacks_geo", "attack_ips", "attack_cube", "training")
+LARGE = ("alerts", "attacks_geo", "attack_ips", "attack_cube", "training", "rejects")
+# All tables of a batch.
+TABLES = (
+    "alerts", "attacks_geo", "attack_ips", "attack_cube", "attack_summary", "model_metrics", "traffic_stats", "training",
+    "rejects", "alert_minutes", "attackers", "frequent_ips", "profiles", "progress",
+)
+# Columns that only tell of rejected records.
+REJECTION = ("reject_reason", "raw_value")
+
+
+def reject_reason(when: Column, ingest: Column, settings: Settings = DEFAULTS) -> Column:
+    """Why a parsed record is no flow: malformed, or an event time too far from the ingest time; NULL for flows."""
+    bare = F.col("src_ip").isNull() & F.col("dst_ip").isNull() & F.col("protocol").isNull()
+    limits = settings.stream
+    return (
+        F.when(bare, "malformed")
+        .when(when > ingest + F.make_dt_interval(mins=F.lit(limits.future_minutes)), "future")
+        .when(when < ingest - F.make_dt_interval(days=F.lit(limits.past_days)), "past")
+    )
 
 
-def flows_from(raw: DataFrame) -> DataFrame:
-    """Parsed flows of a raw stream, with event and ingest time.
+def flows_from(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Parsed flows of a raw stream, with event and ingest time, ``reject_reason`` and the text of rejected records.
 
     The event time falls back to the ingest time, which is constant within a
-    micro-batch, also when the batch is replayed. Row and malformed-record
+    micro-batch, also when the batch is replayed. Row, reject and malformed-record
     counts of each batch appear in the query's progress.
     """
     keyed = raw if "flow_id" in raw.columns else raw.withColumn("flow_id", record_key(raw.columns, "raw_value"))
-    parsed = parse_flows(keyed, "flow_id")
+    parsed = parse_flows(keyed, "flow_id", "raw_value")
     ingest = F.current_timestamp().cast("timestamp_ntz")
     timed = parsed.withColumns(
         {"timestamp": F.coalesce(read_wire_time(F.col("timestamp")), ingest), "ingest_time": ingest}
     )
-    malformed = F.col("src_ip").isNull() & F.col("dst_ip").isNull() & F.col("protocol").isNull()
-    return timed.observe(
-        "flows", F.count("*").alias("rows"), F.count_if(malformed).alias("malformed"),
+    reason = reject_reason(F.col("timestamp"), F.col("ingest_time"), settings)
+    judged = timed.withColumn("reject_reason", reason).withColumn(
+        "raw_value", F.when(F.col("reject_reason").isNotNull(), F.col("raw_value"))
+    )
+    return judged.observe(
+        "flows", F.count("*").alias("rows"), F.count_if(F.col("reject_reason") == "malformed").alias("malformed"),
         F.count_if(F.col("src_ip").isNull()).alias("missing_src_ip"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
     )
 
 
+def accepted(flows: DataFrame) -> DataFrame:
+    """The flows among judged records."""
+    return flows.filter(F.col("reject_reason").isNull()).drop(*REJECTION)
+
+
 @dataclass
 class FanOut:
     """``foreachBatch`` function. All its writes are safe to repeat."""
@@ -62,12 +93,13 @@ class FanOut:
     ranges: DataFrame | None = None
     settings: Settings = DEFAULTS
     cache: ModelCache = field(init=False)
-    small_ranges: bool | None = field(init=False, default=None)
+    index: RangeIndex | None = field(init=False, default=None)
+    firsts: dict[str, int] = field(init=False, default_factory=dict)
 
     def __post_init__(self):
         self.cache = ModelCache(self.models)
         if self.ranges is not None:
-            self.small_ranges = fit_for_broadcast(self.ranges, self.settings.geo.broadcast_rows)
+            self.index = RangeIndex.build(self.ranges, self.settings.geo.broadcast_rows)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -86,37 +118,76 @@ class FanOut:
             ]
             return [task.result() for task in tasks]
 
+    def number(self, batch_id: int) -> int:
+        """The number under which a batch is stored: batches of a new checkpoint follow the complete ones."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query is None:
+            return batch_id
+        if query not in self.firsts:
+            self.firsts[query] = ledger.first_batch(self.spark, self.root, query)
+            if batch_id == 0:
+                ledger.discard(self.spark, self.root, TABLES, self.firsts[query])
+        return self.firsts[query] + batch_id
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        scored = score(clean_all(batch), self.cache.current()).persist(StorageLevel.MEMORY_AND_DISK)
+        spark, batch_id = batch.sparkSession, self.number(batch_id)
+        if "reject_reason" not in batch.columns:
+            batch = batch.withColumns({c: F.lit(None).cast("string") for c in REJECTION})
+        judged = score(clean_all(batch), self.cache.current()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             start = time.monotonic()
-            counts = batch_counts(scored.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id")
-            row = counts.first()
-            if row is None:
+            counts = batch_counts(judged.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id", "reject_reason")
+            # One row for the flows and one for each reason.
+            by_reason = {r["reject_reason"]: r for r in counts.collect()}
+            if not by_reason:
                 return
             log = [("score", int((time.monotonic() - start) * 1000))]
-            one = spark.createDataFrame([row], counts.schema)
-            light = to_alerts(scored, "flow_id").drop("raw_features")
-            tables = {
-                "alerts": to_alerts(scored, "flow_id", "ingest_time", "attack_probability"),
-                "attacks_geo": geo_point(attacks_geo(light, "flow_id", ranges=self.ranges, geo=self.settings.geo, small=self.small_ranges)),
-                "attack_ips": attack_ips(light),
-                "attack_cube": attack_cube(light),
-                "attack_summary": attack_summary(scored, probability=True),
-                "model_metrics": with_scores(one).select(*METRICS),
-                "traffic_stats": with_shares(one).select(*STATS),
-            }
-            if batch_id % self.settings.stream.training_every == 0:
-                tables["training"] = training_rows(scored)
+            tables = {}
+            if set(by_reason) != {None}:
+                kept = ("flow_id", *REJECTION, "timestamp", "ingest_time")
+                tables["rejects"] = judged.filter(F.col("reject_reason").isNotNull()).select(*[c for c in kept if c in judged.columns])
+            row = by_reason.get(None)
+            if row is not None:
+                tables |= self._tables(accepted(judged), spark.createDataFrame([row], counts.schema), batch_id)
             log += self._write_all(tables, batch_id)
+            # What an earlier attempt has left in tables that this one does not write.
+            ledger.discard(spark, self.root, [t for t in TABLES if t not in tables and t != "progress"], batch_id)
+            samples = row["total_samples"] if row is not None else 0
             progress = spark.createDataFrame(
-                [(stage, row["total_samples"], millis) for stage, millis in log],
+                [(stage, samples, millis) for stage, millis in log if stage != "rejects"],
                 "stage string, batch_rows bigint, millis bigint",
             )
-            self._write("progress", progress, batch_id)
+            # Nothing rests on the progress, so the batch may be complete before it is written.
+            with ThreadPoolExecutor(2) as pool:
+                target = inheritable_thread_target(spark)
+                last = [
+                    pool.submit(target(self._write), "progress", progress, batch_id),
+                    pool.submit(target(ledger.record), spark, self.root, batch_id, samples),
+                ]
+                for task in last:
+                    task.result()
         finally:
-            scored.unpersist()
+            judged.unpersist()
+
+    def _tables(self, scored: DataFrame, one: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        """All tables of the flows of a batch; ``one`` has their counts."""
+        light = to_alerts(scored, "flow_id").drop("raw_features")
+        tables = {
+            "alerts": to_alerts(scored, "flow_id", "ingest_time", "attack_probability"),
+            "attacks_geo": geo_point(attacks_geo(light, "flow_id", ranges=self.index, geo=self.settings.geo)),
+            "attack_ips": attack_ips(light),
+            "attack_cube": attack_cube(light),
+            "attack_summary": attack_summary(scored, probability=True),
+            "model_metrics": with_scores(one).select(*METRICS),
+            "traffic_stats": with_shares(one).select(*STATS),
+            "alert_minutes": minute_counts(light),
+            "attackers": attackers_by_hour(light),
+            "frequent_ips": frequent_ips(light),
+            "profiles": profile_parts(scored),
+        }
+        if batch_id % self.settings.stream.training_every == 0:
+            tables["training"] = training_rows(scored)
+        return tables
 
 
 def start_detection(
@@ -128,7 +199,7 @@ def start_detection(
     """Start the detection stream; with ``once`` it stops after the data that is there now."""
     trigger = {"availableNow": True} if once else {"processingTime": fanout.settings.stream.trigger}
     return (
-        flows_from(raw)
+        flows_from(raw, fanout.settings)
         .writeStream.outputMode("append")
         .foreachBatch(fanout)
         .option("checkpointLocation", checkpoint)

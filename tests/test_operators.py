@@ -259,11 +259,6 @@ def test_range_join_equals_brute_force(spark, small):
     assert {r["geo_source"] for r in got} == {"range", "hash", "default"}
 
 
-def test_size_check_of_ranges(spark):
-    wide = spark.createDataFrame([(0, 2**24 - 1, 0.0, 0.0)], "ip_from long, ip_to long, latitude double, longitude double")
-    assert geo.fit_for_broadcast(wide, 256) and not geo.fit_for_broadcast(wide, 255)
-
-
 def test_geo_defaults_and_point(spark):
     rows = [(1, None, "Bot", "high"), (2, "", None, None), (3, "1.2.3.4", "Bot", "low")]
     df = spark.createDataFrame(rows, "flow_id int, src_ip string, attack_type string, severity string")
