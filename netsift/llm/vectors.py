@@ -10,10 +10,14 @@ that pass are verified by their cosine in double precision.
 
 ``bits`` grows with the logarithm of the number of vectors, so cells of
 unrelated vectors keep their size and the work grows little faster than the
-input. Equal vectors are one class. A pair is handled in the first list in which
-it collides; of it only the partners' number and a spanning link leave the task,
-never all pairs. Large cells are split into blocks, and each pair of blocks is a
-task's unit of work.
+input. With a single projection per list, the windows would hold a fixed share of
+all vectors, and the work would grow with the square of the input.
+
+Equal vectors are one class. A pair is counted in the first list in which it
+collides; of it only the partners' number and a spanning link leave the task,
+never all pairs. For that the vectors themselves go to every list, from which a
+task knows their places in all lists. Large cells are split into blocks, and each
+pair of blocks is a task's unit of work.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ WINDOW = 0.5
 RECALL = 0.9999
 CELL = 32
 BLOCK = 1024
+#: Pairs out of windows that a task counts at a time.
+PAIRS = 1 << 15
 SEED = 20240229
 # Directions and vectors are rounded to such steps that projections are exact in double precision.
 _VECTOR_STEPS, _DIRECTION_STEPS = 1 << 14, 1 << 8
@@ -100,22 +106,33 @@ def _roots(n: int, links: np.ndarray) -> np.ndarray:
 
 
 def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, weight, units, lists, threshold):
-    """Links of one group that are first found in this list: index, partners' weight, root."""
+    """Links of one group that are first found in this list: index, partners' weight, root.
+
+    The right side is put in the order of the list's projection. Around each vector of the left side a window is
+    searched there; for the pairs that it gives, collisions are counted over all lists, and only pairs that pass the
+    count are verified by their cosine.
+    """
     cell, at = places(units, lists)
-    found = []
-    for start in range(left.start, left.stop, 256):
-        rows = np.arange(start, min(start + 256, left.stop))
-        close = (units[rows] @ units[right].T) >= threshold
-        close &= np.abs(at[rows, table][:, None] - at[right, table][None, :]) <= WINDOW
-        i, j = np.nonzero(close)
-        i, j = rows[i], j + right.start
+    place = at[:, table]
+    ordered = right.start + np.argsort(place[right], kind="stable")
+    line, queries = place[ordered], np.arange(left.start, left.stop)
+    low = np.searchsorted(line, place[queries] - WINDOW, "left")
+    many = np.searchsorted(line, place[queries] + WINDOW, "right") - low
+    upto = np.cumsum(many)
+    found, first = [], 0
+    while first < len(queries):
+        last = max(first + 1, int(np.searchsorted(upto, upto[first] - many[first] + PAIRS, "right")))
+        n = many[first:last]
+        i = np.repeat(queries[first:last], n)
+        j = ordered[np.repeat(low[first:last] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
         keep = i < j if same else ids[i] != ids[j]
         i, j = i[keep], j[keep]
-        for k in range(0, len(i), 1 << 15):
-            a, b = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
-            hits = (cell[a] == cell[b]) & (np.abs(at[a] - at[b]) <= WINDOW)
-            mine = (hits.sum(1) >= lists.least) & (np.argmax(hits, 1) == table)
-            found.append(np.stack([a[mine], b[mine]], 1))
+        hits = (cell[i] == cell[j]) & (np.abs(at[i] - at[j]) <= WINDOW)
+        mine = (hits.sum(1) >= lists.least) & (np.argmax(hits, 1) == table)
+        i, j = i[mine], j[mine]
+        linked = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
+        found.append(np.stack([i[linked], j[linked]], 1))
+        first = last
     links = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     partners = np.bincount(links[:, 0], weight[links[:, 1]], size) + np.bincount(links[:, 1], weight[links[:, 0]], size)
     linked = np.flatnonzero(partners)
