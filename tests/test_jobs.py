@@ -176,17 +176,20 @@ def test_restart_continues_from_the_checkpoint(spark, flows, tmp_path):
             wire_files(flows.filter("flow_id BETWEEN 300 AND 499"), path, 1)
 
 
-def test_malformed_records_are_kept_and_counted(spark, tmp_path):
+def test_malformed_records_are_set_apart_and_counted(spark, tmp_path):
     path, root = f"{tmp_path}/in", f"{tmp_path}/out"
     records = ["{bad", json.dumps({"srcIp": "10.0.0.1", "dstIp": "10.0.0.2", "synFlagCount": "lots"})]
     spark.createDataFrame([(r,) for r in records], "value string").coalesce(1).write.text(path)
     query = stream.start_detection(source(spark, path), stream.FanOut(spark, root), f"{tmp_path}/cp", once=True)
     query.awaitTermination()
-    rows = read_table(spark, f"{root}/alerts").orderBy(F.asc_nulls_first("src_ip")).collect()
-    assert [r["src_ip"] for r in rows] == [None, "10.0.0.1"] and {r["attack_type"] for r in rows} == {"BENIGN"}
+    rows = read_table(spark, f"{root}/alerts").collect()
+    assert [(r["src_ip"], r["attack_type"]) for r in rows] == [("10.0.0.1", "BENIGN")]
     assert all(r["timestamp"] == r["ingest_time"] for r in rows)
-    assert [p["observedMetrics"]["flows"]["malformed"] for p in query.recentProgress if p["observedMetrics"]] == [1]
+    assert [(r["reject_reason"], r["raw_value"]) for r in read_table(spark, f"{root}/rejects").collect()] == [("malformed", "{bad")]
+    seen = [p["observedMetrics"]["flows"] for p in query.recentProgress if p["observedMetrics"]]
+    assert [(m["rows"], m["malformed"], m["rejected"]) for m in seen] == [(2, 1, 1)]
     assert read_table(spark, f"{root}/attacks_geo").count() == 1
+    assert read_table(spark, f"{root}/traffic_stats").first()["total_packets"] == 1
 
 
 def test_empty_batches_write_nothing(spark, flows, tmp_path):
