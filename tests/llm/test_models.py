@@ -113,6 +113,44 @@ def test_toxicity_of_odd_rows(spark, labelled):
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
+def plain_ftrl(rows, s):
+    """FTRL-proximal over dicts, one coordinate after the other; the intercept has no L1 share."""
+    z, n = {}, {}
+
+    def weight(i):
+        shrink = 0.0 if i == "bias" else s.l1
+        if abs(z.get(i, 0.0)) <= shrink:
+            return 0.0
+        value = z.get(i, 0.0)
+        return -(value - math.copysign(shrink, value)) / ((s.beta + math.sqrt(n.get(i, 0.0))) / s.alpha + s.l2)
+
+    for _ in range(s.passes):
+        for found, label in rows:
+            w = {i: weight(i) for i in [*found, "bias"]}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - label
+            for i, wi in w.items():
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(before)) / s.alpha * wi
+    return {i: weight(i) for i in z if weight(i) != 0.0}
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.5, 3.0])
+def test_ftrl_equals_plain_version(l1):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(400):
+        label = rng.random() < 0.4
+        found = {rng.randrange(200) for _ in range(rng.randrange(12))} | ({900} if label and rng.random() < 0.8 else set())
+        rows.append((sorted(found), int(label)))
+    settings = toxicity.Ftrl(bits=10, alpha=0.3, l1=l1, passes=3)
+    index, value, bias = toxicity.ftrl([(np.array(f, np.int32), y) for f, y in rows], settings)
+    expected = plain_ftrl(rows, settings)
+    assert bias == pytest.approx(expected.pop("bias"))
+    assert dict(zip(index.tolist(), value.tolist())) == pytest.approx(expected)
+    assert 900 in index and (l1 < 3 or len(index) < 100)
+
+
 def test_toxicity_without_labels(spark, labelled):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id bigint, text string")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id bigint, label int"))
