@@ -1,7 +1,7 @@
 """IP literals as column expressions: numbers, groups and the derived hash.
 
-Everything is built from Spark functions, so no address passes through Python.
-Only literals are read; names are never resolved.
+Everything is built from Spark functions. Only literals are read; names are never
+resolved.
 """
 
 from __future__ import annotations

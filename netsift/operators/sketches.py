@@ -110,6 +110,7 @@ def top_ips_of(summaries: DataFrame, alerts: DataFrame, limit: int = TOP_IPS) ->
 def profile_parts(scored: DataFrame, *keys: str, columns: Iterable[str] = CLASS_PROFILED) -> DataFrame:
     """Mergeable profile of each column per label: n, mean, squared deviations, least, greatest, quantile sketch."""
     columns = list(columns)
+
     def parts(c: str) -> Column:
         return F.struct(
             F.lit(c).alias("name"), F.count(c).alias("n"), F.avg(c).alias("mean"), (F.var_pop(c) * F.count(c)).alias("squares"),

@@ -62,7 +62,7 @@ class LateTimeline:
 def start_late_timeline(
     alerts: DataFrame, root: str, checkpoint: str, lateness: int, width: int = 60, once: bool = False
 ) -> StreamingQuery:
-    """Keep the timeline of an alert stream; ``lateness`` and ``width`` in seconds."""
+    """Keep the timeline of an alert stream; ``lateness`` and ``width`` in seconds. A ``root`` belongs to one checkpoint."""
     trigger = {"availableNow": True} if once else {"processingTime": "10 seconds"}
     return (
         alerts.writeStream.outputMode("append")

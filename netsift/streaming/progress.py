@@ -10,17 +10,17 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from netsift.sinks.tables import write_batch
 
-SCHEMA = (
-    "query string, rows bigint, malformed bigint, missing_src_ip bigint, rejected bigint, input_rows bigint, millis bigint"
-)
+SCHEMA = "rows bigint, malformed bigint, missing_src_ip bigint, rejected bigint, input_rows bigint, millis bigint"
 
 
 class ProgressLog(StreamingQueryListener):
     """Stores the observed metrics of every batch, and tells of batches that it could not store.
 
     Spark calls a listener on the thread that serves all of them, so the rows are
-    written on a thread of this log's own. A batch owns its folder, so a batch that
-    is replayed leaves one row. Triggers without data observe nothing and leave none.
+    written on a thread of this log's own. A batch owns its folder below that of its
+    query (``query``, ``batch_id``), so a batch that is replayed leaves one row, and a
+    stream with a new checkpoint leaves the old rows alone. Triggers without data
+    observe nothing and leave none.
     """
 
     def __init__(self, spark: SparkSession, path: str, name: str = "flows"):
@@ -40,11 +40,12 @@ class ProgressLog(StreamingQueryListener):
         seen = (progress.observedMetrics or {}).get(self.name)
         if seen is not None and seen["rows"]:
             counts = [seen[c] for c in ("rows", "malformed", "missing_src_ip", "rejected")]
-            row = (str(progress.id), *counts, progress.numInputRows, progress.batchDuration)
-            self.tasks.append(self.pool.submit(self._store, row, progress.batchId))
+            row = (*counts, progress.numInputRows, progress.batchDuration)
+            self.tasks.append(self.pool.submit(self._store, row, str(progress.id), progress.batchId))
 
-    def _store(self, row: tuple, batch_id: int) -> None:
-        write_batch(self.spark.createDataFrame([row], SCHEMA), self.path, batch_id, dated=False, small=True)
+    def _store(self, row: tuple, query: str, batch_id: int) -> None:
+        rows = self.spark.createDataFrame([row], SCHEMA)
+        write_batch(rows, f"{self.path}/query={query}", batch_id, dated=False, small=True)
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         self.ended.set()

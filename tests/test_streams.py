@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from netsift.schema import FEATURES, LABEL
 from netsift.sinks.tables import read_table, write_batch
 from netsift.streaming import fanout as stream
 from netsift.streaming import feed, incremental, late, ledger
+from netsift.streaming.progress import ProgressLog
 
 
 @pytest.fixture(scope="module")
@@ -243,3 +245,32 @@ def test_feed_gives_each_location_once(spark, parts, tmp_path):
     fan(parts[2], 2)
     got = hand_on()
     assert got == sorted(r["flow_id"] for r in read_table(spark, f"{root}/attacks_geo").collect()) == sorted(set(got))
+
+
+def event(batch, rows=5, query="q", name="flows"):
+    seen = {name: {"rows": rows, "malformed": 1, "missing_src_ip": 2, "rejected": 1}}
+    progress = SimpleNamespace(id=query, batchId=batch, observedMetrics=seen, numInputRows=rows, batchDuration=7)
+    return SimpleNamespace(progress=progress)
+
+
+def test_progress_log_keeps_one_row_for_each_batch(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    for e in (event(0), event(1), event(1, rows=6), event(0, query="later"), event(2, rows=0), event(3, name="others")):
+        log.onQueryProgress(e)
+    log.onQueryTerminated(None)
+    log.close()
+    rows = read_table(spark, str(tmp_path / "log")).collect()
+    assert sorted((r["query"], r["batch_id"], r["rows"], r["rejected"]) for r in rows) == [
+        ("later", 0, 5, 1), ("q", 0, 5, 1), ("q", 1, 6, 1),
+    ]
+
+
+def test_progress_log_tells_of_failures(spark, tmp_path):
+    (tmp_path / "log").write_text("no folder")
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    log.onQueryProgress(event(0))
+    with pytest.raises(TimeoutError):
+        log.close(timeout=0.1)
+    log.onQueryTerminated(None)
+    with pytest.raises(Exception, match="log"):
+        log.close()
