@@ -41,6 +41,68 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+# Whole licence texts and file headers without their copyright lines, by SPDX identifier.
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of"
+    " conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,"
+    " this list of conditions and the following disclaimer in the documentation and/or other materials provided with the"
+    " distribution."
+)
+_BSD_ENDORSEMENT = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;"
+    " LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN"
+    " CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS"
+    " SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GPL_HEADER = (
+    "This program is free software{colon} you can redistribute it and/or modify it under the terms of the GNU General Public"
+    " License as published by the Free Software Foundation{either} version {number} of the License, or (at your option) any"
+    " later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even"
+    " the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more"
+    " details. You should have received a copy of the GNU General Public License along with this program"
+)
+WHOLE_TEXTS = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+            " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
+            " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+            " to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above"
+            " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+            " Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+            " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT"
+            " SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF"
+            " CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS"
+            " IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+            " granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS"
+            " PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED"
+            " WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+            " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER"
+            " IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+            " PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    ("BSD-3-Clause", _BSD_CONDITIONS + _BSD_ENDORSEMENT + _BSD_DISCLAIMER),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
+                   " compliance with the License. You may obtain a copy of the License at"
+                   " http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,"
+                   " software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR"
+                   " CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing"
+                   " permissions and limitations under the License."),
+    ("GPL-2.0-or-later", _GPL_HEADER.format(colon=";", either="; either", number=2)),
+    ("GPL-3.0-or-later", _GPL_HEADER.format(colon=":", either=", either", number=3)),
+)
+#: Whole texts first: of a whole text and a sentence of it that fit alike, the whole text counts.
+ALL_TEMPLATES = WHOLE_TEXTS + TEMPLATES
+#: Templates of more bigrams are looked for by words first.
+LONG = 40
+
 
 def normal_words(text: str) -> list[str]:
     folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
@@ -66,6 +128,21 @@ def _needed(grams: list[str], threshold: float) -> list[str]:
     return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - least + 1]
 
 
+def _needed_words(grams: list[str], threshold: float) -> list[str]:
+    """Words of which every passage that reaches ``threshold`` has one; the longest, as these are rare.
+
+    Each word stands in some of the bigrams; once they stand in so many that too few others are left, they are enough.
+    """
+    least = size_bounds(len(grams), threshold)[0]
+    left, chosen = set(grams), []
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+        if len(left) < least:
+            break
+        chosen.append(word)
+        left -= {g for g in left if word in g.split()}
+    return chosen
+
+
 def notices(
     docs: DataFrame,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
@@ -87,10 +164,14 @@ def notices(
     known = [bigrams(normal_words(text)) for _, text in templates]
     bounds = [size_bounds(len(k), threshold) for k in known]
     # A bigram and the gaps around it, so that the texts without any chance are dropped by plain searches.
-    needed = dict.fromkeys(f" {g} " for k in known for g in _needed(k, threshold))
+    needed = dict.fromkeys(f" {g} " for k in known if len(k) <= LONG for g in _needed(k, threshold))
     any_needed = F.lit(False)
     for g in needed:
         any_needed = any_needed | F.contains("flat", F.lit(g))
+    # A long template would need hundreds of searches; one pass over the words of a text tells whether it has any of a set.
+    rare = list(dict.fromkeys(w for k in known if len(k) > LONG for w in _needed_words(k, threshold)))
+    if rare:
+        any_needed = any_needed | F.arrays_overlap(F.split("flat", " "), F.array(*map(F.lit, rare)))
     folded = F.translate(docs[text_column].cast("string"), _UPPER, _UPPER.lower())
     flat = F.concat(F.lit(" "), F.regexp_replace(folded, "[^a-z0-9]+", " "), F.lit(" "))
     likely = (
@@ -111,27 +192,47 @@ def notices(
         F.struct(F.lit(n).alias("n"), F.array(*map(F.lit, k)).alias("grams"), F.lit(b[0]).alias("least"), F.lit(b[1]).alias("most"))
         for n, (k, b) in enumerate(zip(known, bounds))
     ])
-    hit = (
+    # Only templates of which enough different bigrams stand in the text go on.
+    near = (
         likely.select("doc_id", F.explode(F.array(tokens)).alias("tokens"))
         .filter("size(tokens) > 1")
         .select("doc_id", F.explode(F.array(pairs)).alias("pairs"))
         .withColumn("every", every)
-        .select("doc_id", "pairs", F.explode(F.expr("array(filter(pairs, p -> array_contains(every, p.g)))")).alias("hits"))
+        .select("doc_id", "pairs", F.explode(F.expr("array(array_intersect(transform(pairs, p -> p.g), every))")).alias("present"))
+        .filter("size(present) > 0")
         .withColumn("forms", forms)
         .select("doc_id", "pairs", F.explode(F.expr(
-            "array(filter(transform(forms, f -> struct(f, filter(hits, h -> array_contains(f.grams, h.g)) AS hits)),"
-            " x -> size(x.hits) >= x.f.least))"
-        )).alias("close"))
+            "array(filter(transform(forms, f -> struct(f, array_intersect(f.grams, present) AS own)), x -> size(x.own) >= x.f.least))"
+        )).alias("near"))
+        .filter("size(near) > 0")
     )
-    # For each template and each of its bigrams in the text, all passages that start there and are close enough.
-    measured = """
-      transform(filter(slice(x.hits, i + 1, x.f.most), e -> e.at - h.at < x.f.most AND e.at - h.at + 1 >= x.f.least),
-        e -> transform(array(array_distinct(transform(slice(pairs, h.at + 1, e.at - h.at + 1), p -> p.g))), d ->
-          struct(2.0D * size(array_intersect(d, x.f.grams)) / (size(d) + size(x.f.grams)) AS dice, -x.f.n AS rank,
-            -h.at AS first, -e.at AS last, h.line AS line, size(array_intersect(d, x.f.grams)) AS shared, size(d) AS bigrams))[0])"""
+    # Place of the same bigram before each, -1 without: a passage's different bigrams are those without one inside it.
+    earlier = (
+        near.select("doc_id", "pairs", "near", F.explode(F.expr("array(sort_array(transform(pairs, p -> struct(p.g, p.at))))")).alias("equal"))
+        .select("doc_id", "pairs", "near", F.explode(F.expr(
+            "array(sort_array(transform(equal, (s, k) -> struct(s.at, if(get(equal, k - 1).g = s.g, get(equal, k - 1).at, -1) AS prev))))"
+        )).alias("placed"))
+    )
+    hit = earlier.select("doc_id", "placed", F.explode(F.expr(
+        "array(transform(near, x -> struct(x.f, transform(filter(pairs, p -> array_contains(x.own, p.g)),"
+        " p -> struct(p.at, p.line, get(placed, p.at).prev AS prev)) AS hits)))"
+    )).alias("close"))
+    # For each template and each of its bigrams in the text, all passages that start there and are close enough. A passage
+    # shares no more bigrams than it has hits, so its last hit is at least ``least - 1`` hits after its first.
+    # Repeats are few, so they are picked out once for each start and taken off the lengths.
+    most = "if(coalesce(get(x.hits, i + x.f.least - 1).at - h.at < x.f.most, false), x.f.most, 0)"
+    measured = f"""
+      transform(array(struct(
+          filter(slice(placed, h.at + 1, {most}), v -> v.prev >= h.at) AS every,
+          filter(slice(x.hits, i + 1, {most}), v -> v.prev >= h.at) AS own)), again ->
+        transform(filter(slice(x.hits, i + x.f.least, {most}), e -> e.at - h.at < x.f.most), (e, j) -> transform(array(struct(
+            e.at - h.at + 1 - size(filter(again.every, v -> v.at <= e.at)) AS bigrams,
+            x.f.least + j - size(filter(again.own, v -> v.at <= e.at)) AS shared)), c ->
+          struct(2.0D * c.shared / (c.bigrams + size(x.f.grams)) AS dice, -x.f.n AS rank,
+            -h.at AS first, -e.at AS last, h.line AS line, c.shared AS shared, c.bigrams AS bigrams))[0]))[0]"""
     passages = f"flatten(transform(close, x -> flatten(transform(x.hits, (h, i) -> filter({measured}, b -> b.dice >= {threshold}D)))))"
-    found = hit.filter("size(close) > 0").select("doc_id", F.explode(F.expr(
-        f"array(reverse(array_sort({passages})))"
+    found = hit.select("doc_id", F.explode(F.expr(
+        f"array(reverse(sort_array({passages})))"
     )).alias("found")).filter("size(found) > 0")
     kept = F.expr(
         "aggregate(found, slice(found, 1, 0), (kept, b) -> if(exists(kept, o -> -o.first <= -b.last + 1 AND -b.first <= -o.last + 1),"
@@ -149,8 +250,11 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def notices_sql(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The notices in ``documents`` as DuckDB SQL: all passages that start and end with bigrams of a template."""
-    values = ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(templates))
+    """The notices in ``documents`` as DuckDB SQL: all passages that start and end with bigrams of a template.
+
+    Those with fewer such bigrams than the fewest that can reach the threshold are left out.
+    """
+    values = ", ".join("({}, '{}', '{}')".format(n, name, text.replace("'", "''")) for n, (name, text) in enumerate(templates))
 
     def words(text: str) -> str:
         folded = f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
@@ -162,7 +266,8 @@ def notices_sql(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: f
     return f"""
 WITH templates AS (SELECT n, name, {words('content')} AS w FROM (VALUES {values}) AS v(n, name, content)),
 known AS (
-  SELECT *, floor(len(grams) * (2 - {threshold}) / {threshold})::BIGINT AS most FROM (
+  SELECT *, floor(len(grams) * (2 - {threshold}) / {threshold})::BIGINT AS most,
+    ceil(len(grams) * {threshold} / (2 - {threshold}) - 1e-9)::BIGINT AS least FROM (
     SELECT n, name, list_distinct({pairs('w')}) AS grams FROM templates)
 ),
 split AS (SELECT row_number() OVER () AS doc, doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
@@ -175,10 +280,11 @@ texts AS (
 ),
 paired AS (SELECT doc, doc_id, line, {pairs('w')} AS grams FROM texts WHERE len(w) > 1),
 each AS (SELECT doc, unnest(grams) AS gram, unnest(range(len(grams))) AS spot FROM paired),
-hits AS (SELECT e.doc, e.spot, k.n FROM each e JOIN (SELECT n, unnest(grams) AS gram FROM known) k ON k.gram = e.gram),
+hits AS (SELECT e.doc, e.spot, k.n, row_number() OVER (PARTITION BY e.doc, k.n ORDER BY e.spot) AS nth
+  FROM each e JOIN (SELECT n, unnest(grams) AS gram FROM known) k ON k.gram = e.gram),
 spans AS (
   SELECT a.doc, a.n, a.spot AS head, b.spot AS tail FROM hits a JOIN hits b ON a.doc = b.doc AND a.n = b.n
-  JOIN known k ON k.n = a.n WHERE b.spot >= a.spot AND b.spot - a.spot < k.most
+  JOIN known k ON k.n = a.n WHERE b.nth - a.nth + 1 >= k.least AND b.spot - a.spot < k.most
 ),
 measured AS (
   SELECT s.*, k.grams AS known, list_distinct(p.grams[s.head + 1:s.tail + 1]) AS d FROM spans s

@@ -83,11 +83,11 @@ def op5_fingerprints(spark, folder):
 
 @query
 def op9_licenses(spark, folder):
-    """Licence notices in all documents, within lines and over several lines."""
-    return licenses.notices(table(spark, folder, "documents"))
+    """Licence notices and whole licence texts in all documents, within lines and over several lines."""
+    return licenses.notices(table(spark, folder, "documents"), licenses.ALL_TEMPLATES)
 
 
-ORACLE["op9_licenses"] = licenses.notices_sql()
+ORACLE["op9_licenses"] = licenses.notices_sql(licenses.ALL_TEMPLATES)
 
 
 @query

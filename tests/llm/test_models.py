@@ -275,12 +275,12 @@ def test_coverage_takes_longest_words():
     assert secrets.coverage("thetionXX", frozenset({"the", "tion", "io"})) == pytest.approx(7 / 9)
 
 
-def plain_notices(text):
+def plain_notices(text, templates=licenses.TEMPLATES):
     """Best passages of all lengths by brute force, one after the other without overlap."""
     words = [(w, n) for n, line in enumerate(text.split("\n")) for w in licenses.normal_words(line)]
     pairs = [f"{a[0]} {b[0]}" for a, b in zip(words, words[1:])]
     found = []
-    for k, (_, template) in enumerate(licenses.TEMPLATES):
+    for k, (_, template) in enumerate(templates):
         grams = set(licenses.bigrams(licenses.normal_words(template)))
         most = licenses.size_bounds(len(grams), licenses.THRESHOLD)[1]
         for i in range(len(pairs)):
@@ -333,6 +333,50 @@ def test_notices_of_odd_rows_equal_sql(spark):
     assert licenses.notices(docs.limit(0)).count() == 0
 
 
+def test_whole_licence_texts(spark):
+    """Whole texts, wrapped, commented, edited, next to each other and in the middle of prose, against SQL and brute force."""
+    import textwrap
+
+    rng = random.Random(11)
+    rows, names = [], []
+    for name, text in licenses.WHOLE_TEXTS:
+        lines = textwrap.wrap(text, 70)
+        rows += ["/*\n * Copyright 2020 Foo\n" + "\n".join(f" * {x}" for x in lines) + "\n */\nint main()", "lorem ipsum " * 400 + text + " dolor" * 90]
+        rows.append("\n".join(" ".join(w for w in x.split() if rng.random() > 0.04) for x in lines))
+        names += [name] * 3
+    rows += [rows[0] + "\n" + rows[9], rows[5] * 3, "merchantability of the software " * 500, " ".join(rows[0].split()[:60])]
+    docs = spark.createDataFrame([*enumerate(rows), (901, rows[0]), (901, rows[0]), (900, None), (None, rows[3])], "doc_id bigint, text string")
+    found = licenses.notices(docs.repartition(3), licenses.ALL_TEMPLATES)
+    duck = duckdb.connect()
+    every = [*enumerate(rows), (901, rows[0]), (901, rows[0]), (None, rows[3])]
+    duck.register("documents", pa.table({"doc_id": pa.array([r[0] for r in every], pa.int64()), "text": [r[1] for r in every]}))
+    assert differences(found, duck, licenses.notices_sql(licenses.ALL_TEMPLATES)) == []
+    got = found.collect()
+    for i, name in enumerate(names):
+        mine = [r for r in got if r["doc_id"] == i]
+        if i % 3 < 2:
+            assert [(r["license"], r["dice"]) for r in mine] == [(name, 1.0)], (i, mine)
+            assert mine[0]["template"] < len(licenses.WHOLE_TEXTS)
+        else:
+            assert mine, name
+    assert len([r for r in got if r["doc_id"] == 901]) == 2
+
+    some = (licenses.WHOLE_TEXTS[1], licenses.TEMPLATES[15])
+    texts = ["the software is " * 3 + rows[3], rows[5] + "\nLicensed under the MIT License."]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["line"], r["template"], r["dice"]) for r in licenses.notices(docs, some).collect())
+    assert got == sorted((i, *f) for i, t in enumerate(texts) for f in plain_notices(t, some)) and got
+
+
+def test_words_that_every_passage_needs():
+    """A passage without any of the words shares too few bigrams, whatever else it holds."""
+    for _, text in licenses.ALL_TEMPLATES:
+        grams = licenses.bigrams(licenses.normal_words(text))
+        least = licenses.size_bounds(len(grams), licenses.THRESHOLD)[0]
+        chosen = set(licenses._needed_words(grams, licenses.THRESHOLD))
+        assert sum(not chosen & set(g.split()) for g in grams) < least
+
+
 def plain_links(rows, threshold=0.95):
     good = {}
     for i, v in rows:
