@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.links import small_batches, stored
+from netsift.llm.links import small_batches, smallest_hashes, stored
 from netsift.llm.text import NOT_WORD, pieces, words
 
 SHORTEST, SHORTEST_VALUE = 16, 6
@@ -260,6 +260,40 @@ def findings(docs: DataFrame, known: Corpus, settings: Forest = Forest()) -> Dat
     return every.dropDuplicates(["key"]).orderBy("key").limit(settings.sample)
 
 
+def labelled(docs: DataFrame, spans: DataFrame, known: Corpus, settings: Forest = Forest()) -> DataFrame:
+    """Features of findings that people or other tools have labelled: (key, label, features).
+
+    ``spans`` holds doc_id, start, end (in code points) and label; at most ``sample`` of them are used, those with the
+    smallest hashes, so they fit into a broadcast. Spans with a null, without a document or outside its text count for
+    nothing; those that repeat, with their document or in it, count once.
+    """
+    small_batches(docs.sparkSession)
+    few = spans.select("doc_id", "start", "end", F.col("label").cast("int").alias("label")).dropna().distinct()
+    few = smallest_hashes(few, settings.sample, "doc_id", "start", "end", "label")
+    few = few.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "label")).alias("spans"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, label, x = [], [], []
+            for row in batch.to_pylist():
+                text = row["text"] or ""
+                for span in row["spans"]:
+                    start, end = span["start"], span["end"]
+                    if 0 <= start < end <= len(text):
+                        around = f"{row['doc_id']} {start} {span['label']} {text[max(0, start - NAME_CONTEXT) : end + 1]}"
+                        keys.append(xxhash.xxh64_intdigest(around.encode("utf-8", "surrogatepass")) - (1 << 63))
+                        label.append(span["label"])
+                        x.append(features(text, start, end, known))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(label, pa.int32()), pa.array(x, pa.list_(pa.float64()))],
+                ["key", "label", "features"],
+            )
+
+    every = rows.mapInArrow(run, "key bigint, label int, features array<double>")
+    return every.dropDuplicates(["key"]).orderBy("key").limit(settings.sample)
+
+
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, settings: Forest) -> list[list[float]]:
     """Nodes of one tree: [feature, threshold, left, right, share]; feature -1 marks a leaf."""
     nodes: list[list[float]] = []
@@ -388,7 +422,12 @@ def redacted(text: str = "text", findings: str = "findings", mark: str = "[SECRE
     return F.when(F.size(hits) > 0, cut).otherwise(F.col(text))
 
 
-def fitted(docs: DataFrame, settings: Forest = Forest()) -> tuple[Corpus, list[np.ndarray]]:
-    """Corpus counts and a forest from the table's own rule-labelled findings (doc_id, text)."""
+def fitted(
+    docs: DataFrame, settings: Forest = Forest(), spans: DataFrame | None = None
+) -> tuple[Corpus, list[np.ndarray]]:
+    """Corpus counts and a forest from labelled findings in ``docs`` (doc_id, text).
+
+    ``spans`` are the findings with their labels, see ``labelled``; without them the rules label the table's own.
+    """
     known = corpus(docs, settings)
-    return known, fit(findings(docs, known, settings), settings)
+    return known, fit(findings(docs, known, settings) if spans is None else labelled(docs, spans, known, settings), settings)

@@ -265,6 +265,44 @@ def test_planted_secrets_of_all_forms(spark):
     assert there > 200 and hit >= 0.98 * there and false <= 0.02 * there, (there, hit, false)
 
 
+def test_labels_overrule_the_rules(spark):
+    """Recall and precision on unseen documents, for labels of keys and revisions that the rules get wrong each time."""
+    rng = random.Random(21)
+
+    def draw(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    def word():
+        return "".join(rng.choice(["er", "on", "th", "tion", "nd", "ing", "ea"]) for _ in range(rng.randrange(1, 11)))
+
+    alnum = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    rows, spans = [], []
+    for i in range(900):
+        text = " ".join(word() for _ in range(30)) + " "
+        secret = i % 3 == 0
+        if i % 3 < 2:
+            # A bare key without any key word, or a revision that the name of its field makes look like a secret.
+            before, value = ("", draw(alnum, 24) + "q7B") if secret else ("author_revision=", draw("0123456789abcdef", 40))
+            spans.append((i, len(text + before), len(text + before + value), int(secret)))
+            text += before + value + " "
+        rows.append((i, text + word()))
+    texts = dict(rows)
+    assert all(secrets.ruled(texts[i], a, b) != label for i, a, b, label in spans)
+    # Documents without either have their long words labelled as no secrets.
+    spans += [(i, m.start(), m.end(), 0) for i, t in rows if i % 3 == 2 for m in secrets.CANDIDATE.finditer(t)]
+    odd = [(0, -1, 4, 1), (0, 5, 10**6, 1), (None, 1, 2, 1), (1, 2, None, 0), (7777, 0, 9, 1), spans[0]]
+    docs = spark.createDataFrame([*rows, rows[0], (None, "x"), (5000, None)], "doc_id bigint, text string")
+    given = spark.createDataFrame(spans + odd, "doc_id bigint, start int, end int, label int")
+    known, trees = secrets.fitted(docs, spans=given.filter("doc_id is null or doc_id % 2 = 0"))
+    assert secrets.labelled(docs, given, known).count() == len(spans)
+    found = secrets.scan(docs.filter("doc_id % 2 = 1"), known, trees).collect()
+    got = {(r["doc_id"], f["start"], f["end"]) for r in found for f in r["findings"] if f["secret"]}
+    there = {(i, a, b) for i, a, b, label in spans if label and i % 2}
+    assert len(there) > 140 and len(got & there) >= 0.98 * len(there) and len(got & there) >= 0.98 * len(got)
+    none = secrets.fitted(docs, spans=given.limit(0))
+    assert none[1] == [] and not any(f["secret"] for r in secrets.scan(docs, *none).collect() for f in r["findings"])
+
+
 def test_secrets_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     model = secrets.fitted(empty)

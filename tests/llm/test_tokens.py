@@ -131,3 +131,12 @@ def test_decoding_of_null_ids(spark):
 
 def test_encoding_of_an_empty_table(spark):
     assert subwords.encode(frame(spark, []), PIECES).count() == 0
+
+
+def test_scan_over_the_whole_table_equals_the_library(spark, folder, model):
+    """All documents of the table, most of them cut into several chunks."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert sum(len(t) > 600 for t in texts.values()) > 20
+    got = {r["doc_id"]: r["ids"] for r in subwords.encode(docs, PIECES, chunk=600).collect()}
+    assert got == {i: model.processor.encode(t) for i, t in texts.items()}
