@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netsift.functions.times import trunc
-from netsift.plans import flows as base, tables
+from netsift.plans import flows as base, jobs, tables
 from netsift.sinks.tables import DATE, dealt_by_date, read_table, write_batch, write_table
 from netsift.streaming import fanout as stream
 
@@ -38,6 +38,40 @@ def below_exchange(df) -> str:
     raise AssertionError(plan)
 
 
+def test_ranges_of_the_topic_have_as_many_files(spark, sparse, small_parts, tmp_path):
+    files = tables.topic_files(spark, sparse)
+    assert files > 1
+    assert tables.files_in(spark, tables.topic(spark, sparse), "parquet") == files * tables.TOPIC_RANGES
+    size = 60_000 // tables.TOPIC_RANGES + 1
+    seen = []
+
+    def keep(batch, number):
+        seen.append((number, {r["flow_id"] for r in batch.select("flow_id").collect()}))
+
+    raw = jobs.topic_stream(spark, sparse)
+    writer = raw.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    keys = [*range(4_000), *range(40_000, 40_003), 60_000]
+    assert [ids for _, ids in sorted(seen)] == [{k for k in keys if k // size == n} for n in range(tables.TOPIC_RANGES)]
+
+
+def test_batches_of_the_wire_do_not_grow_in_number(spark, sparse, small_parts, tmp_path):
+    batches, rows = [], []
+    raw = jobs.wire_stream(spark, sparse)
+    assert tables.files_in(spark, tables.wire(spark, sparse)) > 8
+
+    def keep(batch, number):
+        batches.append(number)
+        rows.append(batch.count())
+
+    writer = raw.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == 2
+    assert sum(rows) == 4_005
+    assert jobs.share_of(3, 4, 8) == {"maxFilesPerTrigger": "4"}
+    assert jobs.share_of(400, 3, 8) == {"maxFilesPerTrigger": "150"}
+
+
 def test_stored_alerts_shuffle_events_only(spark, sparse, small_parts):
     before = below_exchange(tables.dealt_alerts(spark, sparse))
     assert "event_id" in before and "to_json" not in before and "flow_duration" not in before
