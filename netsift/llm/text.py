@@ -1,8 +1,9 @@
 """Words and word hashes of Arrow batches, computed with numpy over whole batches.
 
 A word is a run of bytes other than space and 0x09-0x0D. Texts stay in Arrow's
-own buffers; the work arrays cover about a megabyte of text at a time, or one
-text where that is longer.
+own buffers; the work arrays cover about a quarter of a megabyte of text at a
+time, or one text where that is longer. A worker keeps what its largest arrays
+took, so larger steps cost memory in all stages that follow.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-STEP = 1 << 20
+STEP = 1 << 18
 #: Regular expression of a word separator, for Spark and DuckDB alike.
 SPACE = r"[\x20\x09-\x0D]"
 _GAP = np.zeros(256, bool)
