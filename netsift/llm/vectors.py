@@ -105,6 +105,11 @@ def _roots(n: int, links: np.ndarray) -> np.ndarray:
     return root
 
 
+def _sharing(cell: np.ndarray, i: np.ndarray, j: np.ndarray, least: int) -> np.ndarray:
+    """Which of the pairs share enough cells to collide ``least`` times; few unrelated ones do."""
+    return (cell[i] == cell[j]).sum(1) >= least
+
+
 def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, weight, units, lists, threshold):
     """Links of one group that are first found in this list: index, partners' weight, root.
 
@@ -113,6 +118,8 @@ def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, w
     count are verified by their cosine.
     """
     cell, at = places(units, lists)
+    # Two bytes a cell are enough up to two million vectors; most pairs are told by the cells alone.
+    cell = cell.astype(np.uint16 if lists.bits <= 16 else np.int64)
     place = at[:, table]
     ordered = right.start + np.argsort(place[right], kind="stable")
     line, queries = place[ordered], np.arange(left.start, left.stop)
@@ -127,6 +134,8 @@ def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, w
         j = ordered[np.repeat(low[first:last] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
         keep = i < j if same else ids[i] != ids[j]
         i, j = i[keep], j[keep]
+        enough = _sharing(cell, i, j, lists.least)
+        i, j = i[enough], j[enough]
         hits = (cell[i] == cell[j]) & (np.abs(at[i] - at[j]) <= WINDOW)
         mine = (hits.sum(1) >= lists.least) & (np.argmax(hits, 1) == table)
         i, j = i[mine], j[mine]
