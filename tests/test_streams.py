@@ -274,3 +274,23 @@ def test_progress_log_tells_of_failures(spark, tmp_path):
     log.onQueryTerminated(None)
     with pytest.raises(Exception, match="log"):
         log.close()
+
+
+@pytest.mark.parametrize("limit", [10, 3])
+def test_unseen_records_are_told_apart_without_moving_them(spark, tmp_path, limit):
+    """Bit sets while they are few (six here), a join of single ids where there are more."""
+    root = str(tmp_path)
+    stored = [0, 1, 5, 63, 64, 130, -1, -64, 2**40 + 7, 2**63 - 1, None]
+    write_batch(spark.createDataFrame([(i,) for i in stored], "flow_id bigint"), f"{root}/alerts", 0, dated=False)
+    write_batch(spark.createDataFrame([(2,)], "flow_id bigint"), f"{root}/rejects", 0, dated=False)
+    write_batch(spark.createDataFrame([(3,)], "flow_id bigint"), f"{root}/alerts", 1, dated=False)
+    ledger.record(spark, root, 0, 11)
+    ids = [0, 1, 2, 3, 3, 4, 5, 62, 63, 64, 65, 130, 194, -1, -2, -64, -65, 2**40 + 7, 2**40 + 6, 2**63 - 1, -(2**63), None, None]
+    raw = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "flow_id bigint, raw_value string")
+    rest = ledger.unseen(raw, root, limit)
+    assert rest.columns == raw.columns
+    found = sorted(tuple(r) for r in rest.select(F.coalesce("flow_id", F.lit(-99)), "raw_value").collect())
+    complete = {*stored, 2} - {None}
+    assert found == sorted((-99 if i is None else i, f"text {n}") for n, i in enumerate(ids) if i not in complete)
+    plan = rest._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftAnti" in plan) == (limit == 3)
