@@ -105,3 +105,24 @@ def test_dealt_rows_are_written_whole(spark, tmp_path):
         assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
     days = trunc("day", F.col("timestamp"))
     assert read_table(spark, f"{tmp_path}/whole").filter(days.cast("date") != F.col(DATE)).isEmpty()
+
+
+def test_topic_and_quantiles_are_made_out_of_events(spark, sparse, small_parts, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "_PATHS", {})
+    monkeypatch.setattr(tables, "stored_flows", lambda *_: pytest.fail("wide rows were stored and read again"))
+    topic = spark.read.parquet(tables.topic(spark, sparse))
+    plain = base.flows(spark, sparse).filter("flow_id IS NOT NULL")
+    messages = tables.encode_flows(plain, "flow_id").select("key", "value", F.lit(0).alias("partition"), F.col("flow_id").alias("offset"))
+    assert topic.exceptAll(messages).isEmpty() and messages.exceptAll(topic).isEmpty()
+    once, stored = tables.scored_once(spark, sparse), base.scored(spark, sparse)
+    assert once.exceptAll(stored).isEmpty() and stored.exceptAll(once).isEmpty()
+
+
+def test_stored_tables_are_written_by_compiled_methods(spark, sparse, monkeypatch):
+    monkeypatch.setattr(tables, "_PATHS", {})
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(limit), []
+    tables._stored(spark, sparse, "limit", lambda _: seen.append(spark.conf.get(limit)))
+    with pytest.raises(ZeroDivisionError):
+        tables._stored(spark, sparse, "failing", lambda _: 1 / 0)
+    assert seen == ["8000"] and spark.conf.get(limit) == before != "8000"
