@@ -21,10 +21,11 @@ otherwise; the result equals the library's encoding of the whole text.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +61,18 @@ class Subwords:
             elif not (sp.is_control(i) or sp.is_unknown(i)):
                 self.ids[piece], self.score[piece] = i, sp.get_score(i)
         self.longest = max(map(len, self.ids))
-        self.table = {i: bytes([b]) for b, i in self.bytes_.items()}
-        self.table |= {i: p.replace("▁", " ").encode() for p, i in self.ids.items()}
+        table = {i: bytes([b]) for b, i in self.bytes_.items()}
+        table |= {i: p.replace("▁", " ").encode() for p, i in self.ids.items()}
+        #: Bytes by id; the last, empty entry stands for all other ids.
+        self.table = pa.array([table.get(i, b"") for i in range(sp.get_piece_size() + 1)], pa.large_binary())
         self.fits: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
 
+    @cached_property
+    def begins(self) -> set[str]:
+        """Beginnings of all pieces: a text that is not among them is the beginning of none."""
+        return {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+
     def merge(self, text: str) -> list[str]:
         """Pieces of a short text: the best-scored neighbours are joined, leftmost first."""
         parts = list(text)
@@ -102,10 +110,20 @@ class Subwords:
         own = self.ids.get(part)
         return [own] if own is not None else [self.bytes_[b] for b in part.encode()]
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids; the space that encoding puts first is taken off."""
-        raw = b"".join(self.table.get(i, b"") for i in ids)
-        return (raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace")
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Text of each list of ids; the space that encoding puts first is taken off."""
+        other = len(self.table) - 1
+        flat = ids.flatten()
+        known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, other)), False)
+        parts = self.table.take(pc.if_else(known, flat, other))
+        lists = pa.LargeListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]).cast(pa.int64()), parts)
+        raw = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
+        try:
+            text = raw.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            # Some ids hold bytes of no character.
+            text = pa.array([r.decode("utf-8", "replace") for r in raw.to_pylist()], pa.large_string())
+        return pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text).cast(pa.string())
 
     def entries(self, context: str, cut: int) -> list[State]:
         """States that the text around a cut allows: pieces over the character before it."""
@@ -130,14 +148,15 @@ class Subwords:
                 continue
             for to in range(at + 1, min(len(context), at + self.longest) + 1):
                 right = context[at:to]
-                if not self.piece(right):
-                    continue
-                bits = 0
-                for j, mask in held.items():
-                    if at == 0 or self.follows(context[j:at], right):
-                        bits |= mask
-                if bits:
-                    reach[to][at] = reach[to].get(at, 0) | bits
+                if self.piece(right):
+                    bits = 0
+                    for j, mask in held.items():
+                        if at == 0 or self.follows(context[j:at], right):
+                            bits |= mask
+                    if bits:
+                        reach[to][at] = reach[to].get(at, 0) | bits
+                if right not in self.begins:
+                    break
         return reach
 
     def transfer(self, context: str, cut: int, end: int, last: bool) -> tuple[list[State], list[State], np.ndarray]:
@@ -304,8 +323,7 @@ def decode(coded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)
-                text = [m.decode(ids) for ids in batch.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(text, pa.string())], ["rest", "decoded"])
+                yield pa.RecordBatch.from_arrays([batch.column("rest"), m.decode(batch.column("ids"))], ["rest", "decoded"])
 
     done = rows.mapInArrow(run, rows.select("rest").schema.add("decoded", "string"))
     return done.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)], "decoded")

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -140,3 +141,27 @@ def test_scan_over_the_whole_table_equals_the_library(spark, folder, model):
     assert sum(len(t) > 600 for t in texts.values()) > 20
     got = {r["doc_id"]: r["ids"] for r in subwords.encode(docs, PIECES, chunk=600).collect()}
     assert got == {i: model.processor.encode(t) for i, t in texts.items()}
+
+
+def test_decoding_of_whole_batches_equals_one_by_one(model):
+    """Unknown, missing and control ids give nothing, bytes of no character a mark; also in part of an array."""
+    pieces = {i: p.replace("▁", " ").encode() for p, i in model.ids.items()} | {i: bytes([b]) for b, i in model.bytes_.items()}
+    lone = model.bytes_[0xE2]
+    lists = [
+        [], model.processor.encode("  two spaces, é日\U0001f600"), [-1, 10**6, None, 0, 1, 2], [lone], [264, lone, 264],
+        model.processor.encode(" "), [model.bytes_[0x20], lone], model.processor.encode("x" * 50),
+    ]
+    plain = [b"".join(pieces.get(i, b"") for i in ids) for ids in lists]
+    texts = [(r[1:] if r.startswith(b" ") else r).decode("utf-8", "replace") for r in plain]
+    whole = pa.array(lists, pa.list_(pa.int32()))
+    for first in range(len(lists)):
+        for last in range(first + 1, len(lists) + 1):
+            assert model.decode(whole.slice(first, last - first)).to_pylist() == texts[first:last]
+
+
+def test_scan_looks_no_further_than_pieces_reach(model, monkeypatch):
+    looked, piece = [], subwords.Subwords.piece
+    monkeypatch.setattr(subwords.Subwords, "piece", lambda self, text: looked.append(text) or piece(self, text))
+    text = model.processor.normalize("Zqxjk vwzzq 0x8f3kq\u4e2d" * 20)
+    model.forward(text, 0, len(text), [(0, 0)])
+    assert len(looked) < 6 * len(text)
