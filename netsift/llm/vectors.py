@@ -15,8 +15,9 @@ all vectors, and the work would grow with the square of the input.
 
 Equal vectors are one class. A pair is counted in the first list in which it
 collides; of it only the partners' number and a spanning link leave the task,
-never all pairs. For that the vectors themselves go to every list, from which a
-task knows their places in all lists. Large cells are split into blocks, and each
+never all pairs. For that the vectors themselves and their cells go to every
+list; a task takes the places in all lists from the vectors of pairs that share
+enough cells, and of no others. Large cells are split into blocks, and each
 pair of blocks is a task's unit of work.
 """
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +72,7 @@ def calibrated(vectors: int, threshold: float = THRESHOLD) -> Lists:
     return Lists(tables, bits, least)
 
 
+@lru_cache(maxsize=8)
 def directions(size: int, lists: Lists) -> np.ndarray:
     rng = np.random.default_rng(SEED + size)
     return np.round(rng.standard_normal((size, lists.tables * (lists.bits + 1))) * _DIRECTION_STEPS)
@@ -90,6 +93,19 @@ def places(units: np.ndarray, lists: Lists) -> tuple[np.ndarray, np.ndarray]:
     return cell, steps[:, :, -1] / (_VECTOR_STEPS * _DIRECTION_STEPS)
 
 
+def spots(units: np.ndarray, lists: Lists, table: int | np.ndarray | None = None) -> np.ndarray:
+    """Place of each vector in the window order of each list, or of one list only (each vector's own, if many)."""
+    own = directions(units.shape[1], lists)[:, lists.bits :: lists.bits + 1]
+    steps = np.round(units * _VECTOR_STEPS)
+    found = steps @ own if table is None else np.einsum("ij,ij->i", steps, own.T[np.broadcast_to(table, len(units))])
+    return found / (_VECTOR_STEPS * _DIRECTION_STEPS)
+
+
+def _cell_type(lists: Lists) -> type:
+    """Two bytes a cell are enough up to two million vectors."""
+    return np.uint16 if lists.bits <= 16 else np.int64
+
+
 def _roots(n: int, links: np.ndarray) -> np.ndarray:
     """Smallest linked index of each of ``n`` items, by repeated minimum over the links."""
     root = np.arange(n)
@@ -110,19 +126,28 @@ def _sharing(cell: np.ndarray, i: np.ndarray, j: np.ndarray, least: int) -> np.n
     return (cell[i] == cell[j]).sum(1) >= least
 
 
-def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, weight, units, lists, threshold):
+def _within(
+    table, size: int, left: slice, right: slice, same: bool, ids, weight, units, lists, threshold, cell=None, group=None
+):
     """Links of one group that are first found in this list: index, partners' weight, root.
 
+    With ``group`` (the number of each vector's group) and ``table`` (its list) these are several groups, in a row.
+
     The right side is put in the order of the list's projection. Around each vector of the left side a window is
     searched there; for the pairs that it gives, collisions are counted over all lists, and only pairs that pass the
-    count are verified by their cosine.
+    count are verified by their cosine. The cells come with the vectors (``cell``) or are taken from them; most pairs
+    are told by the cells alone, so only vectors of the others are projected for all lists.
     """
-    cell, at = places(units, lists)
-    # Two bytes a cell are enough up to two million vectors; most pairs are told by the cells alone.
-    cell = cell.astype(np.uint16 if lists.bits <= 16 else np.int64)
-    place = at[:, table]
+    cell = (places(units, lists)[0] if cell is None else cell).astype(_cell_type(lists), copy=False)
+    table = np.broadcast_to(table, size)
+    place = spots(units, lists, table)
+    if group is not None:
+        # Whole steps that no window reaches across; sums with them are exact.
+        place = place + group * (2 * np.ceil(np.abs(place).max()) + 2)
     ordered = right.start + np.argsort(place[right], kind="stable")
     line, queries = place[ordered], np.arange(left.start, left.stop)
+    slot = np.full(size, -1)
+    at = np.zeros((0, lists.tables))
     low = np.searchsorted(line, place[queries] - WINDOW, "left")
     many = np.searchsorted(line, place[queries] + WINDOW, "right") - low
     upto = np.cumsum(many)
@@ -135,13 +160,18 @@ def _within(table: int, size: int, left: slice, right: slice, same: bool, ids, w
         keep = i < j if same else ids[i] != ids[j]
         i, j = i[keep], j[keep]
         enough = _sharing(cell, i, j, lists.least)
-        i, j = i[enough], j[enough]
-        hits = (cell[i] == cell[j]) & (np.abs(at[i] - at[j]) <= WINDOW)
-        mine = (hits.sum(1) >= lists.least) & (np.argmax(hits, 1) == table)
+        i, j, first = i[enough], j[enough], last
+        if not len(i):
+            continue
+        new = np.unique(np.concatenate([i, j]))
+        new = new[slot[new] < 0]
+        slot[new] = len(at) + np.arange(len(new))
+        at = np.concatenate([at, spots(units[new], lists)])
+        hits = (cell[i] == cell[j]) & (np.abs(at[slot[i]] - at[slot[j]]) <= WINDOW)
+        mine = (hits.sum(1) >= lists.least) & (np.argmax(hits, 1) == table[i])
         i, j = i[mine], j[mine]
         linked = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
         found.append(np.stack([i[linked], j[linked]], 1))
-        first = last
     links = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     partners = np.bincount(links[:, 0], weight[links[:, 1]], size) + np.bincount(links[:, 1], weight[links[:, 0]], size)
     linked = np.flatnonzero(partners)
@@ -192,17 +222,19 @@ def near_vectors(
                     units = unit(np.frombuffer(b"".join(raw[i] for i in pick), kind).reshape(len(pick), -1))
                     cell, _ = places(units, lists)
                     index = pa.array(np.repeat(pick, lists.tables))
+                    all_cells = pa.array([c.tobytes() for c in cell.astype(_cell_type(lists))], pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.tile(np.arange(lists.tables, dtype=np.int32), len(pick))), pa.array(cell.ravel()),
                             pa.array(np.full(cell.size, size, np.int32)), batch.column("rep").take(index),
                             batch.column("m").take(index), batch.column("v").take(index),
+                            all_cells.take(pa.array(np.repeat(np.arange(len(pick)), lists.tables))),
                         ],
-                        ["list", "cell", "size", "rep", "m", "v"],
+                        ["list", "cell", "size", "rep", "m", "v", "cells"],
                     )
 
     place = ["list", "cell", "size"]
-    dealt = classes.mapInArrow(deal, "list int, cell bigint, size int, rep bigint, m bigint, v binary")
+    dealt = classes.mapInArrow(deal, "list int, cell bigint, size int, rep bigint, m bigint, v binary, cells binary")
     counts = dealt.groupBy(*place).agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
@@ -216,19 +248,21 @@ def near_vectors(
     group = [*place, "one", "two"]
     units_of_work = (
         dealt.join(counts, place).withColumn("blocks", blocks).withColumn("own", own)
-        .withColumn("to", F.explode(every)).select(*place, "to.one", "to.two", "to.side", "rep", "m", "v")
+        .withColumn("to", F.explode(every)).select(*place, "to.one", "to.two", "to.side", "rep", "m", "v", "cells")
         .repartition(*group).sortWithinPartitions(*group, "side", "rep")
     )
 
-    def work(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        first = {c: table.column(c)[0].as_py() for c in group}
-        ids, weight, side = (table.column(c).to_numpy() for c in ("rep", "m", "side"))
+    def work(table: pa.Table, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links of one group, or of several that are no pairs of blocks; ``begin`` is where each begins."""
+        number, ids, weight, side = (table.column(c).to_numpy() for c in ("list", "rep", "m", "side"))
         units = unit(np.frombuffer(b"".join(table.column("v").to_pylist()), kind).reshape(len(ids), -1))
-        same = first["one"] == first["two"]
+        cell = np.frombuffer(b"".join(table.column("cells").to_pylist()), _cell_type(lists)).reshape(len(ids), -1)
+        same = table.column("one")[0] == table.column("two")[0]
         middle = len(ids) if same else int((side == 0).sum())
         right = slice(0, middle) if same else slice(middle, len(ids))
+        group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(ids)))) if len(begin) > 1 else None
         index, partners, root = _within(
-            first["list"], len(ids), slice(0, middle), right, same, ids, weight, units, lists, threshold
+            number, len(ids), slice(0, middle), right, same, ids, weight, units, lists, threshold, cell, group
         )
         return ids[index], partners, ids[root]
 
@@ -241,12 +275,26 @@ def near_vectors(
             edge = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
             starts = np.concatenate([[0], edge])
             held = table.slice(int(starts[-1]))
-            yield from emit([table.slice(int(s), int(e - s)) for s, e in zip(starts, starts[1:])])
+            yield from emit(table, keys, starts)
         if held is not None:
-            yield from emit([held])
-
-    def emit(groups: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        found = [work(g.combine_chunks()) for g in groups if g.num_rows > 1]
+            keys = np.stack([held.column(c).to_numpy().astype(np.int64) for c in group])
+            yield from emit(held, keys, np.array([0, held.num_rows]))
+
+    def emit(table: pa.Table, keys: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Links of the groups between ``starts``; small groups in a row are looked at together."""
+        size, one, two = (keys[group.index(c)][starts[:-1]] for c in ("size", "one", "two"))
+        found, first = [], 0
+        while first < len(starts) - 1:
+            last = first + 1
+            while (
+                last < len(starts) - 1 and one[last] == two[last] and one[first] == two[first] and size[last] == size[first]
+                and starts[last + 1] - starts[first] <= BLOCK
+            ):
+                last += 1
+            if starts[last] - starts[first] > 1:
+                part = table.slice(int(starts[first]), int(starts[last] - starts[first])).combine_chunks()
+                found.append(work(part, starts[first:last] - starts[first]))
+            first = last
         if found:
             a, partners, b = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(

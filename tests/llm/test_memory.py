@@ -45,3 +45,51 @@ def test_links_of_a_group_are_those_of_all_windows():
         wanted = np.bincount(np.concatenate([i[mine], j[mine]]), minlength=200)
         index, partners, _ = vectors._within(table, 200, every, every, True, ids, weight, units, lists, vectors.THRESHOLD)
         assert index.tolist() == np.flatnonzero(wanted).tolist() and partners.tolist() == wanted[wanted > 0].tolist()
+
+
+def test_vectors_that_share_no_other_cell_are_not_projected_for_all_lists(monkeypatch):
+    rng = np.random.default_rng(5)
+    units = vectors.unit(rng.standard_normal((64, 32)))
+    units[1] = vectors.unit((units[0] + 0.01 * units[2])[None])[0]
+    lists, every = vectors.calibrated(50_000), slice(0, 64)
+    cell, at = vectors.places(units, lists)
+    table = int(np.argmax((cell[0] == cell[1]) & (np.abs(at[0] - at[1]) <= vectors.WINDOW)))
+    assert all(np.array_equal(vectors.spots(units, lists, t), at[:, t]) for t in range(lists.tables))
+    seen = []
+    spots = vectors.spots
+    monkeypatch.setattr(vectors, "spots", lambda u, ls, t=None: (seen.append(len(u)) if t is None else None, spots(u, ls, t))[1])
+    monkeypatch.setattr(vectors, "places", None)
+    ids, weight = np.arange(64), np.ones(64, np.int64)
+    index, partners, root = vectors._within(
+        table, 64, every, every, True, ids, weight, units, lists, vectors.THRESHOLD, cell
+    )
+    assert (index.tolist(), partners.tolist(), root.tolist()) == ([0, 1], [1, 1], [0, 0])
+    i, j = np.triu_indices(64, 1)
+    share = vectors._sharing(cell, i, j, lists.least)
+    assert sum(seen) <= len(np.unique(np.concatenate([i[share], j[share]]))) < 64
+    assert vectors.directions(32, lists) is vectors.directions(32, lists)
+
+
+def test_small_groups_looked_at_together_give_the_links_of_each(monkeypatch):
+    monkeypatch.setattr(vectors, "PAIRS", 100)
+    rng = np.random.default_rng(7)
+    lists, sizes = vectors.calibrated(5_000), (30, 1, 45, 2, 30)
+    near = rng.standard_normal((6, 24))
+    units = vectors.unit(near[rng.integers(0, 6, sum(sizes))] + 0.02 * rng.standard_normal((sum(sizes), 24)))
+    cell, _ = vectors.places(units, lists)
+    ids, weight = rng.permutation(len(units)), rng.integers(1, 4, len(units))
+    group, table = np.repeat(np.arange(len(sizes)), sizes), np.repeat([0, 0, 1, 2, 5], sizes)
+    every = slice(0, len(units))
+    index, partners, root = vectors._within(
+        table, len(units), every, every, True, ids, weight, units, lists, vectors.THRESHOLD, cell, group
+    )
+    want = []
+    for g in range(len(sizes)):
+        at = np.flatnonzero(group == g)
+        all_of = slice(0, len(at))
+        one = vectors._within(
+            int(table[at[0]]), len(at), all_of, all_of, True, ids[at], weight[at], units[at], lists, vectors.THRESHOLD
+        )
+        want += zip(at[one[0]].tolist(), one[1].tolist(), at[one[2]].tolist())
+    assert len(want) > 20
+    assert list(zip(index.tolist(), partners.tolist(), root.tolist())) == want
