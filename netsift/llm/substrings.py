@@ -19,22 +19,26 @@ all of them. Steps:
 A passage that very many documents share is sent once by each group, so no
 bucket grows with the number of its copies. Groups and buckets hold about
 ``GROUP_BYTES`` of text each, whatever the size of the table; the texts are
-shuffled once and read by all three steps.
+shuffled once and read by all three steps. Of a group, a worker holds the rows
+as they came, a hash of each word and what one sort of the windows takes; words
+are cut and texts rebuilt about a quarter of a megabyte at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
 from netsift.llm.links import small_batches
-from netsift.llm.text import Words, pieces, runs, starts_of, words
+from netsift.llm.text import STEP, runs, starts_of, words
 
 WINDOW = 20
 # A perfect difference set and its modulus.
@@ -46,13 +50,25 @@ PLACES = "part int, places binary"
 SPANS = ArrayType(StructType().add("start", "integer").add("end", "integer"))
 
 
+def ordered(table: pa.Table, order: np.ndarray, step: int = STEP) -> Iterator[pa.Table]:
+    """The rows in the given order, in runs of about ``step`` bytes of text."""
+    table = table.combine_chunks()
+    sizes = pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy()
+    ends = np.cumsum(sizes[order], dtype=np.int64)
+    first = 0
+    while first < len(order):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + step, "right")))
+        yield table.take(pa.array(order[first:last]))
+        first = last
+
+
 @dataclass
 class Group:
-    """Words of the documents of one group, in ascending order of their ids."""
+    """Hashes of the words of the documents of one group, in ascending order of their ids."""
 
     order: np.ndarray
     ids: np.ndarray
-    parts: list[Words]
     first: np.ndarray
     hashes: np.ndarray
 
@@ -60,16 +76,12 @@ class Group:
     def of(cls, table: pa.Table) -> Group:
         ids = table.column("doc_id").combine_chunks().fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
-        texts = table.select(["text"]).take(pa.array(order)).combine_chunks()
-        parts = [words(b.column("text")) for b in pieces(texts.to_batches())]
-        counts = np.concatenate([p.counts for p in parts] or [np.zeros(0, np.int64)])
-        first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        hashes = np.concatenate([p.hashes() for p in parts] or [np.zeros(0, np.uint64)])
-        return cls(order, ids[order], parts, first, hashes)
-
-    @property
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.ids)), np.diff(self.first))
+        counts, hashes = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)]
+        for piece in ordered(table.select(["text"]), order):
+            found = words(piece.column("text"))
+            counts.append(found.counts)
+            hashes.append(found.hashes())
+        return cls(order, ids[order], np.cumsum(np.concatenate(counts)), np.concatenate(hashes))
 
     def place(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id and position in its document of each of the given words."""
@@ -86,10 +98,15 @@ class Group:
 
     def anchors(self) -> np.ndarray:
         """Words at which an anchor begins."""
+        counts = np.diff(self.first)
+        at = np.arange(self.first[-1])
+        at -= np.repeat(self.first[:-1], counts)
+        at %= PERIOD
+        fits = np.isin(np.arange(PERIOD), COVER)[at]
+        del at
+        fits &= np.repeat(counts >= WINDOW, counts)
         begin = starts_of(self.first, ANCHOR)
-        row = self.owner[begin]
-        at_cover = np.isin((begin - self.first[row]) % PERIOD, COVER)
-        return begin[at_cover & (np.diff(self.first)[row] >= WINDOW)]
+        return begin[fits[begin]]
 
 
 def _sent(fields: list[np.ndarray], key: np.ndarray, buckets: int, part: int) -> pa.Table:
@@ -176,9 +193,9 @@ def send_windows(docs: pa.Table, reports: pa.Table, buckets: int) -> pa.Table:
     _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
     again = count > 1
     again[inverse[np.isin(begin, _reported(group, reports))]] = True
-    marked = np.zeros(len(group.hashes) + 1, np.int64)
+    marked = np.zeros(len(group.hashes) + 1, np.int32)
     marked[begin[again[inverse]] + 1] = 1
-    marked = np.cumsum(marked)
+    np.cumsum(marked, out=marked)
     start = starts_of(group.first, WINDOW)
     start = start[marked[start + PERIOD] > marked[start]]
     a, b, order = window_hashes(group, start)
@@ -196,39 +213,55 @@ def later_windows(table: pa.Table) -> pa.Table:
     return _reports(part[later], ids[later], position[later])
 
 
-def remove(docs: pa.Table, reports: pa.Table, schema: pa.Schema) -> pa.Table:
-    if not docs.num_rows:
-        return schema.empty_table()
-    group = Group.of(docs)
+def _own_repeats(group: Group) -> np.ndarray:
+    """Words at which a window begins that the group has at an earlier place as well."""
     start = starts_of(group.first, WINDOW)
     a, b, order = window_hashes(group, start)
-    lead = np.flatnonzero(_leads(a[order], b[order]))
-    of = order[np.repeat(lead, np.diff(np.append(lead, len(order))))]
-    (ids, position), (ids0, position0) = group.place(start[order]), group.place(start[of])
-    later = start[order][(ids != ids0) | (position != position0)]
-    covered = np.zeros(len(group.hashes) + 1, np.int64)
-    for begin in (later, _reported(group, reports)):
+    lead = _leads(a[order], b[order])
+    del a, b
+    again, lead = np.flatnonzero(~lead), np.flatnonzero(lead)
+    of = start[order[lead[np.searchsorted(lead, again) - 1]]]
+    again = start[order[again]]
+    (ids, position), (ids0, position0) = group.place(again), group.place(of)
+    return again[(ids != ids0) | (position != position0)]
+
+
+def _gone(group: Group, reports: pa.Table) -> np.ndarray:
+    """Whether each word goes."""
+    covered = np.zeros(len(group.hashes) + 1, np.int32)
+    for begin in (_own_repeats(group), _reported(group, reports)):
         np.add.at(covered, begin, 1)
         np.add.at(covered, begin + WINDOW, -1)
-    gone = np.cumsum(covered)[:-1] > 0
+    return np.cumsum(covered, out=covered)[:-1] > 0
 
-    kept, spans, row = [], [], 0
-    for found in group.parts:
-        for i in range(len(found.counts)):
-            mine = gone[group.first[row] : group.first[row + 1]]
+
+def remove(docs: pa.Table, reports: pa.Table, schema: pa.Schema) -> pa.Table:
+    if not docs.num_rows:
+        return schema.empty_table()
+    group = Group.of(docs)
+    gone = _gone(group, reports)
+    order, first = group.order, group.first
+    del group
+    # Each part is a batch of its own on the way to the JVM, so that no batch is as large as the group.
+    parts, row = [], 0
+    for piece in ordered(docs, order):
+        found = words(piece.column("text"))
+        found.data = found.data.tobytes()
+        kept, spans, n_removed = [], [], []
+        for i in range(piece.num_rows):
+            mine = gone[first[row] : first[row + 1]]
             kept.append(found.joined(i, ~mine).decode() if mine.any() else found.joined(i).decode())
             edges = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0))
             spans.append([{"start": int(s), "end": int(e)} for s, e in edges.reshape(-1, 2)])
+            n_removed.append(int(mine.sum()))
             row += 1
-    n_words = np.diff(group.first)
-    total = np.concatenate([[0], np.cumsum(gone)])
-    out = docs.take(pa.array(group.order))
-    columns = {
-        "doc_id": out.column("doc_id"), "text": out.column("text"), "rest": out.column("rest"),
-        "n_words": pa.array(n_words), "n_removed": pa.array(total[group.first[1:]] - total[group.first[:-1]]),
-        "kept": pa.array(kept, pa.string()), "removed": pa.array(spans, schema.field("removed").type),
-    }
-    return pa.table([columns[n] for n in schema.names], schema=schema)
+        columns = {
+            "doc_id": piece.column("doc_id"), "text": piece.column("text"), "rest": piece.column("rest"),
+            "n_words": pa.array(found.counts, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
+            "kept": pa.array(kept, pa.string()), "removed": pa.array(spans, schema.field("removed").type),
+        }
+        parts.append(pa.table([columns[n] for n in schema.names], schema=schema))
+    return pa.concat_tables(parts)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

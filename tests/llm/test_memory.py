@@ -1,9 +1,11 @@
 """Work arrays and pairs that the text operators hold at a time."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
-from netsift.llm import text, vectors
+from netsift.llm import substrings, text, vectors
 
 
 def test_pieces_are_a_quarter_of_a_megabyte():
@@ -15,6 +17,73 @@ def test_pieces_are_a_quarter_of_a_megabyte():
     assert max(sizes) <= 600_000 and sorted(sizes)[-2] <= 1 << 18
 
 
+def test_runs_of_many_words_take_powers_of_a_step_only(monkeypatch):
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 63, 300_000).astype(np.uint64)
+    begin = np.sort(rng.choice(300_000 - 20, 50_000, replace=False))
+    for which in (0, 1):
+        fresh = [text._Powers(p.base) for p in text._WORD_POWERS]
+        whole = text.span_hash(hashes, begin, begin + 20, fresh[which])
+        fresh = [text._Powers(p.base) for p in text._WORD_POWERS]
+        monkeypatch.setattr(text, "_WORD_POWERS", fresh)
+        assert (text.runs(hashes, begin, 20, which) == whole).all()
+        assert len(fresh[which].up) <= text.STEP
+        assert (text.runs(hashes, begin, 20, which, step=7) == whole).all()
+    assert len(text.runs(hashes[:0], begin[:0], 20)) == 0
+
+
+def group_of(texts):
+    ids = np.arange(len(texts))[::-1].copy()
+    return pa.table(
+        {
+            "doc_id": pa.array(ids), "text": pa.array(texts, pa.string()), "part": pa.array([0] * len(texts), pa.int32()),
+            "rest": pa.array([{"none": 0}] * len(texts), pa.struct([("none", pa.int32())])),
+        }
+    )
+
+
+RESULT = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("text", pa.string()), ("rest", pa.struct([("none", pa.int32())])), ("n_words", pa.int64()),
+        ("n_removed", pa.int64()), ("kept", pa.string()),
+        ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+    ]
+)
+NONE = pa.table({"part": pa.array([], pa.int32()), "places": pa.array([], pa.binary())})
+
+
+def test_a_group_of_texts_takes_a_small_multiple_of_its_bytes():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"{w:05d}" for w in rng.integers(0, 100_000, 700)) for _ in range(800)]
+    texts[400:420] = texts[:20]
+    group = group_of(texts)
+    steps = {
+        "anchors": lambda: substrings.send_anchors(group, 4), "windows": lambda: substrings.send_windows(group, NONE, 4),
+        "remove": lambda: substrings.remove(group, NONE, RESULT),
+    }
+    size, peak = sum(map(len, texts)), {}
+    for name, step in steps.items():
+        step()
+        tracemalloc.start()
+        done = step()
+        peak[name] = tracemalloc.get_traced_memory()[1] / size
+        tracemalloc.stop()
+    assert sum(done.column("n_removed").to_pylist()) == 20 * 700
+    assert max(peak.values()) <= 11
+
+
+def test_a_group_goes_back_in_batches_of_a_quarter_of_a_megabyte():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"{w:05d}" for w in rng.integers(0, 100_000, 700)) for _ in range(300)] + [None, "", "x" * 400_000, " \n"]
+    done = substrings.remove(group_of(texts), NONE, RESULT)
+    assert done.column("doc_id").to_pylist() == list(range(len(texts)))
+    assert done.column("text").to_pylist() == texts[::-1]
+    assert done.column("n_words").to_pylist() == [len((t or "").split()) for t in texts[::-1]]
+    assert done.column("kept").to_pylist() == [" ".join((t or "").split()) for t in texts[::-1]]
+    sizes = [sum(len(t or "") for t in b.column("text").to_pylist()) for b in done.to_batches()]
+    assert max(sizes) == 400_000 and sorted(sizes)[-2] <= 1 << 18
+
+
 def test_few_unrelated_pairs_reach_the_windows():
     """Only pairs that share enough cells are compared by windows, and none that collide often enough is lost."""
     rng = np.random.default_rng(5)
