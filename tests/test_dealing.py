@@ -1,6 +1,8 @@
 """Stored tables are written by many tasks, and shuffled before their rows grow wide."""
 
 import datetime
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +120,26 @@ def test_topic_and_quantiles_are_made_out_of_events(spark, sparse, small_parts,
     assert once.exceptAll(stored).isEmpty() and stored.exceptAll(once).isEmpty()
 
 
+def test_damaged_records_are_made_out_of_events_and_compressed(spark, sparse, small_parts, monkeypatch):
+    monkeypatch.setattr(tables, "_PATHS", {})
+    monkeypatch.setattr(tables, "stored_flows", lambda *_: pytest.fail("wide rows were stored and read again"))
+    got = sorted(r["value"] for r in spark.read.schema(tables.RECORD).parquet(tables.damaged(spark, sparse)).collect())
+    whole = tables.encode_flows(base.flows(spark, sparse), "flow_id").select("flow_id", "value").collect()
+
+    def planted(k, text):
+        if k is None:
+            return text
+        if k % 97 == 5:
+            return text[: len(text) // 2]
+        moment = "2999-01-01" if k % 89 == 7 else "1970-01-02" if k % 83 == 3 else None
+        return re.sub('"timestamp":"[^"]*"', f'"timestamp":"{moment}T00:00:00Z"', text) if moment else text
+
+    assert got == sorted(planted(r["flow_id"], r["value"]) for r in whole)
+    assert tables.damaged_files(spark, sparse) == len(whole) // 100 + 1
+    stored = sum(f.stat().st_size for f in Path(tables.damaged(spark, sparse)).glob("part-*"))
+    assert stored < sum(map(len, got)) / 2
+
+
 def test_stored_tables_are_written_by_compiled_methods(spark, sparse, monkeypatch):
     monkeypatch.setattr(tables, "_PATHS", {})
     limit = "spark.sql.codegen.hugeMethodLimit"
