@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netsift.config import ForestSettings, StreamSettings
 from netsift.operators import forest
@@ -19,7 +20,7 @@ from netsift.session import scratch_dir
 from netsift.sinks import jdbc
 from netsift.sinks.tables import DATE, read_table, since, write_batch, write_table
 from netsift.sinks.versions import Versions
-from netsift.sources import streams
+from netsift.sources import audit, streams
 from netsift.sources.audit import parquet_audit
 from netsift.sources.tables import jdbc_read_options, read_table as read_source, read_training_csv
 from netsift.streaming import fanout as stream
@@ -70,6 +71,30 @@ def test_audit_finds_bad_files(spark, tmp_path):
     assert sorted(got.values()) == [("OK", 0), ("OK", 5)]
 
 
+def test_audit_opens_no_large_file_whole(spark, tmp_path):
+    spark.range(20_000).coalesce(1).write.parquet(f"{tmp_path}/good.parquet")
+    # Without rows and with a footer of more than the bytes that are read at once.
+    wide = T.StructType([T.StructField(f"c{n}" + "x" * 60, T.LongType()) for n in range(900)])
+    spark.createDataFrame([], wide).coalesce(1).write.parquet(f"{tmp_path}/wide.parquet")
+    body = b"x" * 100_000
+    (tmp_path / "junk.parquet").write_bytes(body)
+    (tmp_path / "head.parquet").write_bytes(b"PAR1" + body)
+    (tmp_path / "long.parquet").write_bytes(b"PAR1" + body + b"\xff\xff\xff\xffPAR1")
+    (tmp_path / "just over.parquet").write_bytes(b"PAR1" + body + (len(body) + 1).to_bytes(4, "little") + b"PAR1")
+    files = list(tmp_path.rglob("part-*.parquet")) + list(tmp_path.glob("*.parquet"))
+    assert sum(f.is_file() and f.stat().st_size > audit.WHOLE for f in files) == 6
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", audit.WHOLE)
+    try:
+        found = parquet_audit(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    got = {r["file"].removeprefix(f"file:{tmp_path}/").split("/")[0]: (r["status"], r["row_count"]) for r in found}
+    assert got == {
+        "good.parquet": ("OK", 20_000), "wide.parquet": ("OK", 0),
+        **{f"{name}.parquet": ("BAD", None) for name in ("junk", "head", "long", "just over")},
+    }
+
+
 def test_csv_with_odd_titles(spark, tmp_path):
     path = tmp_path / "flows.csv"
     path.write_text(" Flow Bytes/s, Flow Duration,Label,Note\r\n1.5,Infinity,BENIGN,a\nNaN,2,Bot,b\n")
